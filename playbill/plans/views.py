@@ -7,6 +7,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playbill.functions import first_list_member, first_number
+
 # The same views for the SQL oracle.
 CATALOG_SQL = """
 SELECT o_orderkey AS id,
@@ -92,3 +94,26 @@ class Tables:
             F.when(F.col("l_partkey") % 6 != 0, F.concat(F.lit("C"), F.col("l_partkey").cast("string"))).alias("character"),
             F.when(F.col("l_returnflag") == "R", "DIRECTOR").otherwise("ACTOR").alias("role"),
         )
+
+    @cached_property
+    def model_titles(self) -> DataFrame:
+        """Movies and shows with the features of the models; gaps as in the catalog."""
+        lines = self["lineitem"].groupBy(F.col("l_orderkey").alias("id")).agg(
+            F.count_if(F.col("l_returnflag") != "R").alias("actor_count"),
+            (F.avg("l_extendedprice") / 1000).alias("popularity"),
+            (F.avg("l_quantity") / 5).alias("second_score"),
+        )
+        titles = self.catalog.filter(F.col("type").isin("MOVIE", "SHOW"))
+        return titles.join(lines, "id", "left").select(
+            "id",
+            "title",
+            "type",
+            first_list_member(F.col("genres")).alias("main_genre"),
+            "rating",
+            "score",
+            "second_score",
+            "popularity",
+            first_number(F.col("duration")).alias("runtime"),
+            F.coalesce("actor_count", F.lit(0)).alias("actor_count"),
+            "release_year",
+        )
