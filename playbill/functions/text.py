@@ -42,7 +42,7 @@ def split_trimmed(col: Column, sep: str = ",", trim: bool = True) -> Column:
     """Separated text to an array, members trimmed unless asked otherwise."""
     # split() takes a regular expression, \\Q..\\E keeps the separator literal
     parts = F.split(col, "\\Q" + sep + "\\E")
-    return F.transform(parts, F.trim) if trim else parts
+    return F.transform(parts, lambda x: F.trim(x)) if trim else parts
 
 
 def has_list_member(col: Column, member: str, sep: str = ",") -> Column:

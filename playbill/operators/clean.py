@@ -35,17 +35,16 @@ def fill_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def fill_median(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """Missing cells take the median, the mean of the middle two on an even count.
 
-    Exact by default at any size (see ``distribution.medians``); ``approx`` takes
-    one sketch instead and gives a value that occurs in the column.
+    Exact by default at any size, found by a few jobs up front (see
+    ``distribution.medians``); ``approx`` takes one lazy sketch instead and gives
+    a value that occurs in the column.
     """
     if approx:
-        sketch = df.agg(
-            F.struct(*[F.percentile_approx(F.nanvl(c, F.lit(None)), 0.5).alias(c) for c in cols])
-        )
-        middle = sketch.scalar()
+        present = {c: F.when(~is_missing(df, c), F.col(f"`{c}`")) for c in cols}
+        middle = {c: df.agg(F.percentile_approx(v, 0.5)).scalar() for c, v in present.items()}
     else:
-        middle = medians(df, cols).select(F.struct(*cols)).scalar()
-    return df.withColumns({c: _filled(df, c, middle[c]) for c in cols})
+        middle = {c: F.lit(v).cast("double") for c, v in medians(df, cols).items()}
+    return df.withColumns({c: _filled(df, c, v) for c, v in middle.items()})
 
 
 def _filled(df: DataFrame, name: str, value: Column) -> Column:

@@ -51,7 +51,7 @@ def explode_list(df: DataFrame, col: str, out: str, sep: str = ",", trim: bool =
     if df.schema[col].dataType.typeName() != "array":
         members = fx.split_trimmed(members, sep, trim)
     elif trim:
-        members = F.transform(members, F.trim)
+        members = F.transform(members, lambda x: F.trim(x))
     return df.select("*", F.explode(members).alias("__member")).drop(out).withColumnRenamed("__member", out)
 
 

@@ -2,115 +2,121 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playbill.functions import is_missing, normal_pdf
 
-_GRID = 2_000  # quantile steps per narrowing pass
-_ACCURACY = 20_000  # sketch accuracy: rank error at most 1 in 20,000
+_ACCURACY = 10_000  # sketch accuracy: rank error at most 1 in 10,000
+_GRID = [i / 1_000 for i in range(1_001)]  # quantiles asked for in a narrowing pass
+_SORTED_AT_ONCE = 100_000  # candidates that may be sorted in one cell
 
 
-def medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Exact median of each column in one row, with bounded memory at any size.
+@dataclass
+class _Search:
+    """Where the middle ranks of a column still hide: strictly between lo and hi."""
 
-    Two sketch passes close in on the middle rank, then only the values between
-    the last two bounds are counted and ranked: about one in 600,000 rows. Every
-    pass reads the named columns once and returns a single row.
+    low: int  # zero-based middle ranks, equal on an odd count
+    high: int
+    lo: float
+    hi: float
+    below: int  # rows up to and including lo
+    inside: int  # rows strictly between lo and hi
+
+
+def medians(
+    df: DataFrame, cols: Sequence[str], sorted_at_once: int = _SORTED_AT_ONCE
+) -> dict[str, float | None]:
+    """Exact median per column, the mean of the middle two on an even count.
+
+    Runs a few jobs, like a model fit. Each reads all columns at once and returns
+    one row of fixed size: a quantile sketch narrows the range that holds the
+    middle ranks about 200-fold, exact counts confirm it, and once few candidates
+    are left they are sorted. Values that repeat often are counted, never listed,
+    so neither the number of rows nor of distinct values matters.
     """
     values = df.select(
         *[F.when(~is_missing(df, c), F.col(f"`{c}`")).cast("double").alias(c) for c in cols]
     )
-    slack = 4 / _ACCURACY
-    outer = values.agg(
-        F.struct(
-            *[F.count(c).alias(f"n_{c}") for c in cols],
-            *[
-                F.percentile_approx(c, [0.5 - slack, 0.5 + slack], _ACCURACY).alias(f"q_{c}")
-                for c in cols
-            ],
-        )
-    ).scalar()
-    located = values.withColumn("b", outer)
-    grid = [i / _GRID for i in range(_GRID + 1)]
-    measures: list[Column] = []
+    found: dict[str, float | None] = {}
+    open_: dict[str, _Search] = {}
+    counts = values.agg(
+        *[F.struct(F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max")).alias(c) for c in cols]
+    ).first()
     for c in cols:
-        lo, hi = F.col(f"b.q_{c}")[0], F.col(f"b.q_{c}")[1]
-        inside = F.when(F.col(c).between(lo, hi), F.col(c))
-        measures += [
-            F.max(f"b.n_{c}").alias(f"n_{c}"),
-            F.min(lo).alias(f"lo_{c}"),
-            F.min(hi).alias(f"hi_{c}"),
-            F.count_if(F.col(c) < lo).alias(f"below_{c}"),
-            F.count(inside).alias(f"in_{c}"),
-            F.percentile_approx(inside, grid, _ACCURACY).alias(f"q_{c}"),
-        ]
-    bounds = located.agg(*measures).select(F.struct(*[_inner_bounds(c) for c in cols])).scalar()
-    # what is left is tiny: rank it per column
-    kept = (
-        values.withColumn("b", bounds)
-        .select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(c).alias("name"),
-                            F.col(c).alias("v"),
-                            (F.col(c) < F.col(f"b.{c}.lo")).alias("is_below"),
-                            (F.col(c) <= F.col(f"b.{c}.hi")).alias("is_kept"),
-                            F.col(f"b.{c}.n").alias("n"),
-                        )
-                        for c in cols
-                    ]
-                )
-            )
-        )
-        .filter("v IS NOT NULL AND is_kept")
-    )
-    # all values below the bounds merge into one row that only carries their number
-    counted = kept.groupBy(
-        "name", "n", F.when(~F.col("is_below"), F.col("v")).alias("v")
-    ).agg(F.count(F.lit(1)).alias("cnt"))
-    upto = F.sum("cnt").over(
-        Window.partitionBy("name").orderBy(F.asc_nulls_first("v")).rowsBetween(
-            Window.unboundedPreceding, 0
+        n, least, most = counts[c]
+        if n == 0:
+            found[c] = None
+        else:
+            # nothing is below the smallest value; the first pass counts its repeats
+            open_[c] = _Search((n - 1) // 2, n // 2, -math.inf, math.inf, 0, n)
+            if least == most:
+                found[c] = least
+                del open_[c]
+    while open_:
+        small = [c for c, s in open_.items() if s.inside <= sorted_at_once]
+        wide = [c for c in open_ if c not in small]
+        in_range = {c: (F.col(c) > s.lo) & (F.col(c) < s.hi) for c, s in open_.items()}
+        rows = values.filter(reduce(or_, in_range.values()))
+        step = rows.agg(
+            *[F.sort_array(F.collect_list(F.when(in_range[c], F.col(c)))).alias(c) for c in small],
+            *[F.percentile_approx(F.when(in_range[c], F.col(c)), _GRID, _ACCURACY).alias(c) for c in wide],
         )
-    )
-    ranked = counted.withColumn("upto", upto)
-    low, high = _middle_ranks(F.col("n"))
-    return ranked.agg(
-        *[
-            (
-                (
-                    F.min(F.when((F.col("name") == c) & (F.col("upto") > low), F.col("v")))
-                    + F.min(F.when((F.col("name") == c) & (F.col("upto") > high), F.col("v")))
-                )
-                / 2
+        picked = step.select(
+            *[F.array(F.get(c, F.lit(open_[c].low - open_[c].below)), F.get(c, F.lit(open_[c].high - open_[c].below))).alias(c) for c in small],
+            *wide,
+        ).first()
+        for c in small:
+            found[c] = sum(picked[c]) / 2
+            del open_[c]
+        if wide:
+            _narrow(rows, in_range, {c: picked[c] for c in wide}, open_, found)
+    return {c: found[c] for c in cols}
+
+
+def _narrow(rows, in_range, grids, open_, found) -> None:
+    """Count exactly around two grid quantiles and keep the part with the middle ranks."""
+    ends = {}
+    for c, grid in grids.items():
+        s = open_[c]
+        last = len(grid) - 1
+        # two grid steps of slack, well above the sketch error
+        before = math.floor((s.low - s.below) / s.inside * last) - 2
+        after = math.ceil((s.high + 1 - s.below) / s.inside * last) + 2
+        ends[c] = grid[max(before, 0)], grid[min(after, last)]
+    measures = []
+    for c, (lo, hi) in ends.items():
+        v = F.when(in_range[c], F.col(c))
+        between = F.when((v > lo) & (v < hi), v)
+        measures.append(
+            F.struct(
+                F.count_if(v < lo), F.count_if(v == lo), F.count(between), F.count_if(v == hi), F.min(between), F.max(between)
             ).alias(c)
-            for c in cols
-        ]
-    )
-
-
-def _middle_ranks(n: Column) -> tuple[Column, Column]:
-    """Zero-based ranks of the middle values, the same one twice on an odd count."""
-    return F.floor((n - 1) / 2), F.ceil((n - 1) / 2)
-
-
-def _inner_bounds(c: str) -> Column:
-    """Bounds one pass tighter: the grid steps on either side of the middle rank."""
-    below, n_in, q = F.col(f"below_{c}"), F.col(f"in_{c}"), F.col(f"q_{c}")
-    per_rank = F.lit(float(_GRID)) / F.nullif(n_in, F.lit(0))
-    low, high = _middle_ranks(F.col(f"n_{c}"))
-    lower = F.floor((low - below) * per_rank).cast("int") - 2
-    upper = F.ceil((high + 1 - below) * per_rank).cast("int") + 2
-    return F.struct(
-        F.col(f"n_{c}").alias("n"),
-        F.when(lower > 0, F.get(q, lower)).otherwise(F.col(f"lo_{c}")).alias("lo"),
-        F.when(upper < _GRID, F.get(q, upper)).otherwise(F.col(f"hi_{c}")).alias("hi"),
-    ).alias(c)
+        )
+    row = rows.agg(*measures).first()
+    for c, (lo, hi) in ends.items():
+        s = open_[c]
+        under, at_lo, inside, at_hi, least, most = row[c]
+        at_hi = at_hi if hi > lo else 0
+        first = s.below + under  # rank of the first lo
+        past_lo, past_inside = first + at_lo, first + at_lo + inside
+        if s.low < first or s.high >= past_inside + at_hi:
+            raise ArithmeticError(f"quantile sketch of {c} is off by more than its stated error")
+
+        low = lo if s.low < past_lo else hi if s.low >= past_inside else None
+        high = lo if s.high < past_lo else hi if s.high >= past_inside else None
+        if low is None and high is None:
+            open_[c] = _Search(s.low, s.high, lo, hi, past_lo, inside)
+            continue
+        # a middle rank in between, next to one on a bound, is the largest or smallest there
+        found[c] = ((most if low is None else low) + (least if high is None else high)) / 2
+        del open_[c]
 
 
 def moments(df: DataFrame, col: str) -> DataFrame:
