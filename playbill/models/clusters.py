@@ -4,48 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
+from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playbill.models.features import assemble, standardise
-from playbill.models.metrics import silhouette
+from playbill.models.held import held
+from playbill.models.metrics import silhouette_score
 from playbill.operators.ranking import mark_best
 
 
-def _vectors(df: DataFrame, cols: Sequence[str], nulls: str) -> DataFrame:
-    """Standardised vectors; ``nulls`` is skip (leave rows out) or fill (with 0)."""
+def _ready(df: DataFrame, cols: Sequence[str], nulls: str) -> DataFrame:
+    """Rows fit for vectors; ``nulls`` is skip (leave rows with gaps out) or fill (with 0)."""
     if nulls not in ("skip", "fill"):
         raise ValueError("nulls must be skip or fill")
-    rows = df.na.drop(subset=list(cols)) if nulls == "skip" else df.na.fill(0, subset=list(cols))
-    return standardise(assemble(rows, cols, "__raw"), "__raw", "features").drop("__raw")
+    return df.na.drop(subset=list(cols)) if nulls == "skip" else df.na.fill(0, subset=list(cols))
+
+
+def _stages(cols: Sequence[str], *last) -> Pipeline:
+    """Columns to standardised vectors, and what follows."""
+    return Pipeline(
+        stages=[
+            VectorAssembler(inputCols=list(cols), outputCol="__raw"),
+            StandardScaler(inputCol="__raw", outputCol="features", withMean=True, withStd=True),
+            *last,
+        ]
+    )
 
 
 def cluster(
     df: DataFrame, cols: Sequence[str], k: int = 6, seed: int = 1, nulls: str = "skip", keep: Sequence[str] = ("id",)
 ) -> DataFrame:
     """Cluster number per row, next to its ids and raw columns."""
-    vectors = _vectors(df.select(*keep, *cols), cols, nulls).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = KMeans(k=k, seed=seed).fit(vectors)
-    finally:
-        vectors.unpersist()
-    return model.transform(vectors).select(*keep, "prediction", *cols)
+    with held(df.select(*cols)) as rows:
+        fitted = _stages(cols, KMeans(k=k, seed=seed)).fit(_ready(rows, cols, nulls))
+    return fitted.transform(_ready(df, cols, nulls)).select(*keep, "prediction", *cols)
 
 
 def k_sweep(
     df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(2, 20), seed: int = 1, nulls: str = "skip"
 ) -> DataFrame:
-    """Silhouette per number of clusters, best one flagged. The vectors are read once."""
-    vectors = _vectors(df.select(*cols), cols, nulls).select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        scores = [
-            (k, silhouette(KMeans(k=k, seed=seed).fit(vectors).transform(vectors), "features").first()[0])
-            for k in ks
-        ]
-    finally:
-        vectors.unpersist()
+    """Silhouette per number of clusters, best one flagged. The columns are read once."""
+    with held(df.select(*cols)) as rows:
+        ready = _ready(rows, cols, nulls)
+        vectors = _stages(cols).fit(ready).transform(ready).select("features")
+        scores = []
+        for k in ks:
+            assigned = KMeans(k=k, seed=seed).fit(vectors).transform(vectors)
+            scores.append((k, silhouette_score(assigned)))
     table = df.sparkSession.createDataFrame(scores, "k int, silhouette double")
     return mark_best(table, "silhouette")
 

@@ -53,6 +53,11 @@ def silhouette(df: DataFrame, features: Sequence[str] | str, cluster: str = "pre
     if not isinstance(features, str):
         df = VectorAssembler(inputCols=list(features), outputCol="__vec").transform(df)
         features = "__vec"
-    rows = df.withColumn("__cluster", F.col(cluster).cast("double"))
-    evaluator = ClusteringEvaluator(featuresCol=features, predictionCol="__cluster")
-    return df.sparkSession.createDataFrame([(evaluator.evaluate(rows),)], "silhouette double")
+    score = silhouette_score(df, features, cluster)
+    return df.sparkSession.createDataFrame([(score,)], "silhouette double")
+
+
+def silhouette_score(df: DataFrame, features: str = "features", cluster: str = "prediction") -> float:
+    """The same for a vector column, as a number."""
+    rows = df.select(features, F.col(cluster).cast("double").alias("__cluster"))
+    return ClusteringEvaluator(featuresCol=features, predictionCol="__cluster").evaluate(rows)

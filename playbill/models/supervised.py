@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 
 from playbill.functions.text import NO_DATA
 from playbill.models.features import check_labels, feature_pipeline, feature_stages, split
+from playbill.models.held import held
 from playbill.models.metrics import class_metrics, reg_metrics
 from playbill.operators.profile import distinct_count
 from playbill.operators.ranking import mark_best
@@ -60,32 +60,44 @@ def fit_classifier(
     train: DataFrame, kind: str, cat: Sequence[str], num: Sequence[str], label: str = "type", seed: int = 42, **params
 ) -> PipelineModel:
     """Features and classifier fitted together on training rows."""
+    with held(train.select(label, *cat, *num)) as rows:
+        return _fit_classifier(rows, kind, cat, num, label, seed, **params)
+
+
+def _fit_classifier(rows, kind, cat, num, label, seed=42, **params) -> PipelineModel:
     if cat:
-        check_labels(train, cat)
+        check_labels(rows, cat)
     if kind == "gbt":
-        _two_classes(train, label)
-        ensure_checkpoint_dir(train.sparkSession)
+        _two_classes(rows, label)
+        ensure_checkpoint_dir(rows.sparkSession)
     stages = [*feature_stages(cat, num, label), classifier(kind, seed, **params)]
-    return Pipeline(stages=stages).fit(train)
+    return Pipeline(stages=stages).fit(rows)
 
 
 def fit_regressor(
     train: DataFrame, kind: str, cat: Sequence[str], num: Sequence[str], target: str, seed: int = 42, **params
 ) -> PipelineModel:
     """Features and regressor fitted together on the training rows that have a target."""
+    with held(_with_target(train.select(target, *cat, *num), target)) as rows:
+        return _fit_regressor(rows, kind, cat, num, seed, **params)
+
+
+def _with_target(df: DataFrame, target: str) -> DataFrame:
+    return df.filter(F.col(target).isNotNull()).withColumn("label", F.col(target).cast("double"))
+
+
+def _fit_regressor(rows, kind, cat, num, seed=42, **params) -> PipelineModel:
     if cat:
-        check_labels(train, cat)
+        check_labels(rows, cat)
     if kind == "gbt":
-        ensure_checkpoint_dir(train.sparkSession)
-    rows = train.filter(F.col(target).isNotNull()).withColumn("label", F.col(target).cast("double"))
+        ensure_checkpoint_dir(rows.sparkSession)
     stages = [*feature_pipeline(cat, num).getStages(), regressor(kind, seed, **params)]
     return Pipeline(stages=stages).fit(rows)
 
 
 def score_regressor(model: Model, test: DataFrame, target: str) -> DataFrame:
     """RMSE, MSE and R2 on test rows that have a target."""
-    rows = test.filter(F.col(target).isNotNull()).withColumn("label", F.col(target).cast("double"))
-    return reg_metrics(model.transform(rows))
+    return reg_metrics(model.transform(_with_target(test, target)))
 
 
 def tune(
@@ -103,6 +115,11 @@ def tune(
 
     Folds come from a hash of the key, so they do not move with the data layout.
     """
+    with held(train.select(key, label, *cat, *num)) as rows:
+        return _tune(rows, cat, num, label, key, grid, folds, seed, parallelism)
+
+
+def _tune(train, cat, num, label, key, grid=None, folds=3, seed=42, parallelism=4):
     _two_classes(train, label)
     ensure_checkpoint_dir(train.sparkSession)
     # fixed values: depths and rounds to try
@@ -179,10 +196,7 @@ def feature_accuracy(
     listed without an accuracy. Values are counted with a sketch first and
     exactly only where they are few.
     """
-    rows = df.select(key, label, *[F.col(c).cast("string").alias(c) for c in cols]).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    try:
+    with held(df.select(key, label, *[F.col(c).cast("string").alias(c) for c in cols])) as rows:
         rough = {r["column"]: r["n_distinct"] for r in distinct_count(rows, cols, approx=True).collect()}
         few = [c for c in cols if rough[c] <= 2 * max_values]
         exact = {r["column"]: r["n_distinct"] for r in distinct_count(rows, few).collect()} if few else {}
@@ -192,8 +206,6 @@ def feature_accuracy(
             n = exact.get(c, rough[c])
             accuracy = _one_feature(train, test, c, n, label, trees, seed) if n <= max_values else None
             results.append((c, n, accuracy))
-    finally:
-        rows.unpersist()
     table = df.sparkSession.createDataFrame(results, "feature string, n_distinct long, accuracy double")
     return mark_best(table, "accuracy")
 
@@ -265,18 +277,15 @@ def compare_classifiers(
     tuned: bool = True,
 ) -> DataFrame:
     """One row per classifier, the tuned boosted trees among them: accuracy and F1 on test rows."""
-    rows = fill_features(df, cat, num).select(key, label, *cat, *num).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with held(fill_features(df, cat, num).select(key, label, *cat, *num)) as rows:
         train, test = split(rows, key)
         results = []
         for kind in kinds:
-            scored = fit_classifier(train, kind, cat, num, label).transform(test)
+            scored = _fit_classifier(train, kind, cat, num, label).transform(test)
             results.append((MODEL_NAMES[kind], *class_metrics(scored).first()))
         if tuned:
-            model, _ = tune(train, cat, num, label, key, grid)
+            model, _ = _tune(train, cat, num, label, key, grid)
             results.append((f"{MODEL_NAMES['gbt']} (tuned)", *class_metrics(model.transform(test)).first()))
-    finally:
-        rows.unpersist()
     return df.sparkSession.createDataFrame(results, "model string, accuracy double, f1 double")
 
 
@@ -289,14 +298,12 @@ def compare_regressors(
     kinds: Sequence[str] = ("lr", "rf", "gbt"),
 ) -> DataFrame:
     """One row per regressor: RMSE and R2 on test rows."""
-    known = df.filter(F.col(target).isNotNull())
-    rows = fill_features(known, cat, num).select(key, target, *cat, *num).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    known = _with_target(df, target)
+    with held(fill_features(known, cat, num).select(key, target, "label", *cat, *num)) as rows:
         train, test = split(rows, key)
         results = []
         for kind in kinds:
-            scores = score_regressor(fit_regressor(train, kind, cat, num, target), test, target).first()
+            scored = _fit_regressor(train, kind, cat, num).transform(test)
+            scores = reg_metrics(scored).first()
             results.append((REGRESSOR_NAMES[kind], scores["rmse"], scores["r2"]))
-    finally:
-        rows.unpersist()
     return df.sparkSession.createDataFrame(results, "model string, rmse double, r2 double")

@@ -140,8 +140,9 @@ def _majority_sql(col: str) -> str:
     return (
         f"SELECT '{col}' AS feature, round(avg(CASE WHEN c.type = coalesce(b.type, (SELECT type FROM top)) THEN "
         f"1.0::DOUBLE ELSE 0 END), 6) AS accuracy FROM (SELECT type, {v} AS v FROM catalog WHERE id % 10 >= 7) c "
-        f"LEFT JOIN (SELECT {v} AS v, type FROM catalog WHERE id % 10 < 7 GROUP BY 1, 2 "
-        "QUALIFY row_number() OVER (PARTITION BY v ORDER BY count(*) DESC, type) = 1) b USING (v)"
+        "LEFT JOIN (SELECT v, type FROM (SELECT v, type, row_number() OVER (PARTITION BY v ORDER BY n DESC, type) AS r "
+        f"FROM (SELECT {v} AS v, type, count(*) AS n FROM catalog WHERE id % 10 < 7 GROUP BY 1, 2)) WHERE r = 1) b "
+        "USING (v)"
     )
 
 
