@@ -1,0 +1,31 @@
+"""Rows kept for the repeated passes of a model fit."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+
+
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """Persist raw columns while a block runs, spread over all cores.
+
+    Fits make many passes, so a table in fewer partitions than there are cores is
+    spread once. Vectors built on top stay uncached: the learners keep their own
+    unpacked copy, which is cheaper to iterate over than a cached vector column.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        kept.count()
+        if kept.rdd.getNumPartitions() < cores:
+            spread = kept.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+            spread.count()
+            kept.unpersist()
+            kept = spread
+        yield kept
+    finally:
+        kept.unpersist()
