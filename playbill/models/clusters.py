@@ -10,7 +10,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playbill.models.held import held
+from playbill.models.fits import PARALLEL_FITS, fit_each, held
 from playbill.models.metrics import silhouette_score
 from playbill.operators.ranking import mark_best
 
@@ -43,16 +43,18 @@ def cluster(
 
 
 def k_sweep(
-    df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(2, 20), seed: int = 1, nulls: str = "skip"
+    df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(2, 20), seed: int = 1, nulls: str = "skip",
+    parallelism: int = PARALLEL_FITS,
 ) -> DataFrame:
     """Silhouette per number of clusters, best one flagged. The columns are read once."""
     with held(df.select(*cols)) as rows:
         ready = _ready(rows, cols, nulls)
         vectors = _stages(cols).fit(ready).transform(ready).select("features")
-        scores = []
-        for k in ks:
-            assigned = KMeans(k=k, seed=seed).fit(vectors).transform(vectors)
-            scores.append((k, silhouette_score(assigned)))
+
+        def score(k: int) -> tuple[int, float]:
+            return k, silhouette_score(KMeans(k=k, seed=seed).fit(vectors).transform(vectors))
+
+        scores = fit_each(df.sparkSession, score, ks, parallelism)
     table = df.sparkSession.createDataFrame(scores, "k int, silhouette double")
     return mark_best(table, "silhouette")
 

@@ -1,12 +1,15 @@
-"""Rows kept for the repeated passes of a model fit."""
+"""What fits share: rows kept for repeated passes, and several fits at a time."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
+
+PARALLEL_FITS = 4
 
 
 @contextmanager
@@ -29,3 +32,13 @@ def held(df: DataFrame) -> Iterator[DataFrame]:
         yield kept
     finally:
         kept.unpersist()
+
+
+def fit_each(spark: SparkSession, fit: Callable, items: Iterable, parallelism: int = PARALLEL_FITS) -> list:
+    """Results of independent fits, in order, several of them sharing the cluster at a time.
+
+    Small fits leave cores idle between their many short jobs. Every running fit
+    keeps its own copy of the rows: use 1 where one fit fills the cluster.
+    """
+    with ThreadPool(parallelism) as pool:
+        return pool.map(inheritable_thread_target(spark)(fit), list(items), chunksize=1)

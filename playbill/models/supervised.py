@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from playbill.functions.text import NO_DATA
 from playbill.models.features import check_labels, feature_pipeline, feature_stages, split
-from playbill.models.held import held
+from playbill.models.fits import PARALLEL_FITS, fit_each, held
 from playbill.models.metrics import class_metrics, reg_metrics
 from playbill.operators.profile import distinct_count
 from playbill.operators.ranking import mark_best
@@ -109,7 +109,7 @@ def tune(
     grid: Mapping[str, Sequence] | None = None,
     folds: int = 3,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int = PARALLEL_FITS,
 ) -> tuple[CrossValidatorModel, DataFrame]:
     """Boosted trees tuned by cross-validated F1: the model and one row per combination.
 
@@ -119,7 +119,7 @@ def tune(
         return _tune(rows, cat, num, label, key, grid, folds, seed, parallelism)
 
 
-def _tune(train, cat, num, label, key, grid=None, folds=3, seed=42, parallelism=4):
+def _tune(train, cat, num, label, key, grid=None, folds=3, seed=42, parallelism=PARALLEL_FITS):
     _two_classes(train, label)
     ensure_checkpoint_dir(train.sparkSession)
     # fixed values: depths and rounds to try
@@ -189,6 +189,7 @@ def feature_accuracy(
     trees: int = 20,
     seed: int = 42,
     max_values: int = 1_000,
+    parallelism: int = PARALLEL_FITS,
 ) -> DataFrame:
     """Test accuracy of a forest on each single column, best one flagged.
 
@@ -201,11 +202,12 @@ def feature_accuracy(
         few = [c for c in cols if rough[c] <= 2 * max_values]
         exact = {r["column"]: r["n_distinct"] for r in distinct_count(rows, few).collect()} if few else {}
         train, test = split(rows, key, 0.7, seed)
-        results = []
-        for c in cols:
+
+        def score(c: str) -> tuple[str, int, float | None]:
             n = exact.get(c, rough[c])
-            accuracy = _one_feature(train, test, c, n, label, trees, seed) if n <= max_values else None
-            results.append((c, n, accuracy))
+            return c, n, _one_feature(train, test, c, n, label, trees, seed) if n <= max_values else None
+
+        results = fit_each(df.sparkSession, score, cols, parallelism)
     table = df.sparkSession.createDataFrame(results, "feature string, n_distinct long, accuracy double")
     return mark_best(table, "accuracy")
 
@@ -275,17 +277,23 @@ def compare_classifiers(
     kinds: Sequence[str] = ("rf", "lr", "gbt"),
     grid: Mapping[str, Sequence] | None = None,
     tuned: bool = True,
+    parallelism: int = PARALLEL_FITS,
 ) -> DataFrame:
     """One row per classifier, the tuned boosted trees among them: accuracy and F1 on test rows."""
     with held(fill_features(df, cat, num).select(key, label, *cat, *num)) as rows:
         train, test = split(rows, key)
-        results = []
-        for kind in kinds:
-            scored = _fit_classifier(train, kind, cat, num, label).transform(test)
-            results.append((MODEL_NAMES[kind], *class_metrics(scored).first()))
+
+        def score(kind: str) -> tuple[str, float, float]:
+            if kind == "tuned":
+                model, _ = _tune(train, cat, num, label, key, grid, parallelism=parallelism)
+            else:
+                model = _fit_classifier(train, kind, cat, num, label)
+            name = f"{MODEL_NAMES['gbt']} (tuned)" if kind == "tuned" else MODEL_NAMES[kind]
+            return name, *class_metrics(model.transform(test)).first()
+
+        results = fit_each(df.sparkSession, score, kinds, parallelism)
         if tuned:
-            model, _ = _tune(train, cat, num, label, key, grid)
-            results.append((f"{MODEL_NAMES['gbt']} (tuned)", *class_metrics(model.transform(test)).first()))
+            results.append(score("tuned"))
     return df.sparkSession.createDataFrame(results, "model string, accuracy double, f1 double")
 
 
@@ -296,14 +304,16 @@ def compare_regressors(
     target: str,
     key: str = "id",
     kinds: Sequence[str] = ("lr", "rf", "gbt"),
+    parallelism: int = PARALLEL_FITS,
 ) -> DataFrame:
     """One row per regressor: RMSE and R2 on test rows."""
     known = _with_target(df, target)
     with held(fill_features(known, cat, num).select(key, target, "label", *cat, *num)) as rows:
         train, test = split(rows, key)
-        results = []
-        for kind in kinds:
-            scored = _fit_regressor(train, kind, cat, num).transform(test)
-            scores = reg_metrics(scored).first()
-            results.append((REGRESSOR_NAMES[kind], scores["rmse"], scores["r2"]))
+
+        def score(kind: str) -> tuple[str, float, float]:
+            scores = reg_metrics(_fit_regressor(train, kind, cat, num).transform(test)).first()
+            return REGRESSOR_NAMES[kind], scores["rmse"], scores["r2"]
+
+        results = fit_each(df.sparkSession, score, kinds, parallelism)
     return df.sparkSession.createDataFrame(results, "model string, rmse double, r2 double")

@@ -51,7 +51,8 @@ def reindex(df: DataFrame, key: str, domain: Sequence[str], fill: Mapping[str, o
         list(enumerate(domain)), f"position int, `{key}` string"
     )
     wanted = df.filter(F.col(key).isin(*domain))
-    out = labels.join(wanted, key, "left")
+    rest = [c for c in df.columns if c != key]
+    out = labels.join(wanted, key, "left").select("position", key, *rest)
     return out.na.fill(dict(fill)) if fill else out
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import codecs
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -24,12 +26,17 @@ def read_titles_csv(
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("encoding", encoding)
+        .option("encoding", _charset(encoding))
         .option("multiLine", multiline)
         .csv(path)
     )
 
 
+def _charset(name: str) -> str:
+    """The name Spark knows for latin-1, which has many spellings."""
+    return "ISO-8859-1" if codecs.lookup(name).name == "iso8859-1" else name
+
+
 def first_columns(df: DataFrame, n: int) -> DataFrame:
     """The first n columns by position."""
     return df.select(*df.columns[:n])
