@@ -197,9 +197,9 @@ def feature_accuracy(
     listed without an accuracy. Values are counted with a sketch first and
     exactly only where they are few.
     """
-    with held(df.select(key, label, *[F.col(c).cast("string").alias(c) for c in cols])) as rows:
-        rough = {r["column"]: r["n_distinct"] for r in distinct_count(rows, cols, approx=True).collect()}
-        few = [c for c in cols if rough[c] <= 2 * max_values]
+    rough = {r["column"]: r["n_distinct"] for r in distinct_count(df, cols, approx=True).collect()}
+    few = [c for c in cols if rough[c] <= 2 * max_values]
+    with held(df.select(key, label, *[F.col(c).cast("string").alias(c) for c in few])) as rows:
         exact = {r["column"]: r["n_distinct"] for r in distinct_count(rows, few).collect()} if few else {}
         train, test = split(rows, key, 0.7, seed)
 

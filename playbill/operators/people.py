@@ -9,7 +9,7 @@ rows can be that long, which bounds the set of long titles that is broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playbill.functions.text import NO_DATA
@@ -23,15 +23,19 @@ def people_per_title(credits: DataFrame, role: str = "ACTOR", out: str = "actor_
 
 
 def _long_titles(people: DataFrame, part_rows: int) -> DataFrame:
-    counts = people.groupBy("id").agg(F.count(F.lit(1)).alias("actor_count"))
-    return counts.filter(F.col("actor_count") > part_rows).withColumn(
-        "cast_parts", F.ceil(F.col("actor_count") / part_rows)
-    )
+    """Ids with more names than fit in a cell, with their number of names."""
+    counts = people.groupBy("id").agg(F.count(F.lit(1)).alias("n_long"))
+    return F.broadcast(counts.filter(F.col("n_long") > part_rows))
+
+
+def _parts(part_rows: int) -> Column:
+    return F.ceil(F.col("n_long") / part_rows)
 
 
 def _short_lists(people: DataFrame, long_titles: DataFrame) -> DataFrame:
     """Titles with an ordinary cast: count and sorted names in one aggregate."""
-    short = people.join(F.broadcast(long_titles.select("id")), "id", "left_anti")
+    # a left join with the same columns as elsewhere, so the broadcast is built once
+    short = people.join(long_titles, "id", "left").filter("n_long IS NULL")
     return short.groupBy("id").agg(
         F.count(F.lit(1)).alias("actor_count"),
         F.sort_array(F.collect_list("name")).alias("cast"),
@@ -44,16 +48,15 @@ def _long_lists(people: DataFrame, long_titles: DataFrame, part_rows: int) -> Da
     Repeats of a name collapse to a number first. A name goes to a part by its
     hash; one that repeats more than ``part_rows`` times fills parts of its own.
     """
-    named = (
-        people.join(F.broadcast(long_titles.select("id", "cast_parts")), "id")
-        .groupBy("id", "cast_parts", "name")
-        .agg(F.count(F.lit(1)).alias("n"))
+    named = people.join(long_titles, "id").groupBy("id", "n_long", "name").agg(
+        F.count(F.lit(1)).alias("n")
     )
     chunks = named.select(
         "*",
         F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / part_rows) - 1)).alias("chunk"),
     )
-    part = F.col("chunk") * F.col("cast_parts") + F.pmod(F.xxhash64("name"), F.col("cast_parts"))
+    parts = _parts(part_rows)
+    part = F.col("chunk") * parts + F.pmod(F.xxhash64("name"), parts)
     taken = F.least(F.lit(part_rows), F.col("n") - F.col("chunk") * part_rows).cast("int")
     gathered = (
         chunks.select("id", part.alias("part"), "name", taken.alias("n"))
@@ -101,12 +104,11 @@ def attach_people(
     people = _role_rows(credits, role)
     long_titles = _long_titles(people, part_rows)
     lists = _short_lists(people, long_titles)
-    marks = long_titles.select("id", F.col("actor_count").alias("__long"), "cast_parts")
-    joined = titles.join(lists, "id", "left").join(F.broadcast(marks), "id", "left")
+    joined = titles.join(lists, "id", "left").join(long_titles, "id", "left")
     nobody = F.array(F.lit(NO_DATA))
     return joined.select(
         *titles.columns,
-        F.coalesce("actor_count", "__long", F.lit(0)).cast("long").alias("actor_count"),
-        F.coalesce("cast_parts", F.lit(1)).cast("int").alias("cast_parts"),
-        F.when(F.col("cast_parts").isNull(), F.coalesce("cast", nobody)).alias("cast"),
+        F.coalesce("actor_count", "n_long", F.lit(0)).cast("long").alias("actor_count"),
+        F.coalesce(_parts(part_rows), F.lit(1)).cast("int").alias("cast_parts"),
+        F.when(F.col("n_long").isNull(), F.coalesce("cast", nobody)).alias("cast"),
     )
