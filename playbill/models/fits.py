@@ -10,22 +10,23 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 PARALLEL_FITS = 4
+_ROWS_PER_TASK = 50_000  # fewer rows are done before a task is worth its start
 
 
 @contextmanager
 def held(df: DataFrame) -> Iterator[DataFrame]:
-    """Persist raw columns while a block runs, spread over all cores.
+    """Persist raw columns while a block runs, spread over the cores they can keep busy.
 
-    Fits make many passes, so a table in fewer partitions than there are cores is
-    spread once. Vectors built on top stay uncached: the learners keep their own
+    Fits make many passes, so a table that sits in few partitions for its number of
+    rows is spread once, over all cores at most. Vectors built on top stay uncached: the learners keep their own
     unpacked copy, which is cheaper to iterate over than a cached vector column.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        kept.count()
-        if kept.rdd.getNumPartitions() < cores:
-            spread = kept.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+        useful = min(cores, -(-kept.count() // _ROWS_PER_TASK))
+        if kept.rdd.getNumPartitions() < useful:
+            spread = kept.repartition(useful).persist(StorageLevel.MEMORY_AND_DISK)
             spread.count()
             kept.unpersist()
             kept = spread

@@ -28,6 +28,14 @@ class _Search:
     hi: float
     below: int  # rows up to and including lo
     inside: int  # rows strictly between lo and hi
+    grid: list[float]  # sketched quantiles of the rows inside
+
+    def ends(self) -> tuple[float, float]:
+        """Two grid values around the middle ranks, with slack well above the sketch error."""
+        last = len(self.grid) - 1
+        before = math.floor((self.low - self.below) / self.inside * last) - 2
+        after = math.ceil((self.high + 1 - self.below) / self.inside * last) + 2
+        return self.grid[max(before, 0)], self.grid[min(after, last)]
 
 
 def medians(
@@ -36,87 +44,83 @@ def medians(
     """Exact median per column, the mean of the middle two on an even count.
 
     Runs a few jobs, like a model fit. Each reads all columns at once and returns
-    one row of fixed size: a quantile sketch narrows the range that holds the
-    middle ranks about 200-fold, exact counts confirm it, and once few candidates
-    are left they are sorted. Values that repeat often are counted, never listed,
-    so neither the number of rows nor of distinct values matters.
+    one row of fixed size: quantiles sketched in one job bound the middle ranks
+    for the next, which counts exactly around the bounds and sketches again in
+    between, about 200 times fewer rows. Once few candidates are left they are
+    sorted. Values that repeat often are counted, never listed, so neither the
+    number of rows nor of distinct values matters.
     """
     values = df.select(
         *[F.when(~is_missing(df, c), F.col(f"`{c}`")).cast("double").alias(c) for c in cols]
     )
-    found: dict[str, float | None] = {}
-    open_: dict[str, _Search] = {}
-    counts = values.agg(
-        *[F.struct(F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max")).alias(c) for c in cols]
-    ).first()
-    for c in cols:
-        n, least, most = counts[c]
-        if n == 0:
-            found[c] = None
-        else:
-            # nothing is below the smallest value; the first pass counts its repeats
-            open_[c] = _Search((n - 1) // 2, n // 2, -math.inf, math.inf, 0, n)
-            if least == most:
-                found[c] = least
-                del open_[c]
-    while open_:
-        small = [c for c, s in open_.items() if s.inside <= sorted_at_once]
-        wide = [c for c in open_ if c not in small]
-        in_range = {c: (F.col(c) > s.lo) & (F.col(c) < s.hi) for c, s in open_.items()}
+    first = values.agg(*[F.struct(F.count(c), _sketch(F.col(c))).alias(c) for c in cols]).first()
+    found: dict[str, float | None] = dict.fromkeys(cols)
+    searches = {
+        c: _Search((n - 1) // 2, n // 2, -math.inf, math.inf, 0, n, grid)
+        for c, (n, grid) in zip(cols, first)
+        if n
+    }
+    while searches:
+        in_range = {c: (F.col(c) > s.lo) & (F.col(c) < s.hi) for c, s in searches.items()}
         rows = values.filter(reduce(or_, in_range.values()))
-        step = rows.agg(
-            *[F.sort_array(F.collect_list(F.when(in_range[c], F.col(c)))).alias(c) for c in small],
-            *[F.percentile_approx(F.when(in_range[c], F.col(c)), _GRID, _ACCURACY).alias(c) for c in wide],
-        )
-        picked = step.select(
-            *[F.array(F.get(c, F.lit(open_[c].low - open_[c].below)), F.get(c, F.lit(open_[c].high - open_[c].below))).alias(c) for c in small],
-            *wide,
+        steps = {}
+        for c, s in searches.items():
+            v = F.when(in_range[c], F.col(c))
+            steps[c] = _sorted(v) if s.inside <= sorted_at_once else _counts(v, *s.ends())
+        aggregated = rows.agg(*[step.alias(c) for c, step in steps.items()])
+        picked = aggregated.select(
+            *[
+                F.array(F.get(c, F.lit(s.low - s.below)), F.get(c, F.lit(s.high - s.below))).alias(c)
+                if s.inside <= sorted_at_once
+                else F.col(c)
+                for c, s in searches.items()
+            ]
         ).first()
-        for c in small:
-            found[c] = sum(picked[c]) / 2
-            del open_[c]
-        if wide:
-            _narrow(rows, in_range, {c: picked[c] for c in wide}, open_, found)
-    return {c: found[c] for c in cols}
-
-
-def _narrow(rows, in_range, grids, open_, found) -> None:
-    """Count exactly around two grid quantiles and keep the part with the middle ranks."""
-    ends = {}
-    for c, grid in grids.items():
-        s = open_[c]
-        last = len(grid) - 1
-        # two grid steps of slack, well above the sketch error
-        before = math.floor((s.low - s.below) / s.inside * last) - 2
-        after = math.ceil((s.high + 1 - s.below) / s.inside * last) + 2
-        ends[c] = grid[max(before, 0)], grid[min(after, last)]
-    measures = []
-    for c, (lo, hi) in ends.items():
-        v = F.when(in_range[c], F.col(c))
-        between = F.when((v > lo) & (v < hi), v)
-        measures.append(
-            F.struct(
-                F.count_if(v < lo), F.count_if(v == lo), F.count(between), F.count_if(v == hi), F.min(between), F.max(between)
-            ).alias(c)
-        )
-    row = rows.agg(*measures).first()
-    for c, (lo, hi) in ends.items():
-        s = open_[c]
-        under, at_lo, inside, at_hi, least, most = row[c]
-        at_hi = at_hi if hi > lo else 0
-        first = s.below + under  # rank of the first lo
-        past_lo, past_inside = first + at_lo, first + at_lo + inside
-        if s.low < first or s.high >= past_inside + at_hi:
-            raise ArithmeticError(f"quantile sketch of {c} is off by more than its stated error")
-
-        low = lo if s.low < past_lo else hi if s.low >= past_inside else None
-        high = lo if s.high < past_lo else hi if s.high >= past_inside else None
-        if low is None and high is None:
-            open_[c] = _Search(s.low, s.high, lo, hi, past_lo, inside)
-            continue
-        # a middle rank in between, next to one on a bound, is the largest or smallest there
-        found[c] = ((most if low is None else low) + (least if high is None else high)) / 2
-        del open_[c]
+        for c, s in list(searches.items()):
+            if s.inside <= sorted_at_once:
+                found[c] = sum(picked[c]) / 2
+                del searches[c]
+                continue
+            outcome = _narrowed(c, s, picked[c])
+            if isinstance(outcome, _Search):
+                searches[c] = outcome
+            else:
+                found[c] = outcome
+                del searches[c]
+    return found
+
+
+def _sketch(v: Column) -> Column:
+    return F.percentile_approx(v, _GRID, _ACCURACY)
+
+
+def _sorted(v: Column) -> Column:
+    return F.sort_array(F.collect_list(v))
+
+
+def _counts(v: Column, lo: float, hi: float) -> Column:
+    """Rows below, on, between and on two bounds, and what lies between."""
+    between = F.when((v > lo) & (v < hi), v)
+    return F.struct(
+        F.count_if(v < lo), F.count_if(v == lo), F.count(between), F.count_if(v == hi),
+        F.min(between), F.max(between), _sketch(between),
+    )
+
+
+def _narrowed(c: str, s: _Search, counts) -> _Search | float:
+    """The part that holds the middle ranks, or the median when a bound settles it."""
+    lo, hi = s.ends()
+    under, at_lo, inside, at_hi, least, most, grid = counts
+    past_lo = s.below + under + at_lo
+    past_inside = past_lo + inside
+    if s.low < s.below + under or s.high >= past_inside + (at_hi if hi > lo else 0):
+        raise ArithmeticError(f"quantile sketch of {c} is off by more than its stated error")
+    low = lo if s.low < past_lo else hi if s.low >= past_inside else None
+    high = lo if s.high < past_lo else hi if s.high >= past_inside else None
+    if low is None and high is None:
+        return _Search(s.low, s.high, lo, hi, past_lo, inside, grid)
+    # a middle rank in between, next to one on a bound, is the largest or smallest there
+    return ((most if low is None else low) + (least if high is None else high)) / 2
 
 
 def moments(df: DataFrame, col: str) -> DataFrame:
