@@ -1,9 +1,8 @@
 """Headline timings: one JSON line.
 
 Each query runs once to warm up and once timed; all its rows are computed and
-thrown away by executors. Next to them stand the same questions asked the way a
-script on one machine asks them: a plan per type or country, counts pulled to
-the driver between plans, results collected.
+thrown away by executors. Next to them stand the same questions asked step by
+step, with one operator per step and one plan per type or country.
 """
 
 from __future__ import annotations
@@ -12,12 +11,14 @@ import json
 import os
 import time
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playbill.operators import aggregates, joins, people, ranking
 from playbill.operators.derive import explode_list
 from playbill.plans import catalog_of_queries
 from playbill.plans.analysis_queries import SIX_COUNTRIES
+from playbill.plans.table_queries import TYPES
 from playbill.plans.views import Tables
 from playbill.session import tuned_session
 
@@ -47,41 +48,33 @@ def seconds(run) -> float:
     return round(time.perf_counter() - start, 3)
 
 
-def script_type_ratio(t: Tables) -> None:
-    rows = explode_list(t.catalog, "countries", "country")
-    top = rows.groupBy("country").count().orderBy(F.desc("count")).limit(10).select("country")
-    counts = rows.join(top, "country").groupBy("country", "type").count()
-    shares = counts.withColumn("ratio", F.col("count") / F.sum("count").over(Window.partitionBy("country")))
-    named = shares.filter(F.col("type").isin("MOVIE", "SHOW"))
-    named.groupBy("country").pivot("type").sum("ratio").na.fill(0).toPandas()
+def stepwise_type_ratio(t: Tables) -> None:
+    rows = joins.keep_top_keys(explode_list(t.catalog, "countries", "country"), "country", 10)
+    counts = joins.with_group_total(aggregates.count_by(rows, ["country", "type"]), "country", "count")
+    shares = counts.withColumn("ratio", F.col("count") / F.col("total"))
+    aggregates.pivot_sum(shares, "country", "type", TYPES, "ratio").toPandas()
 
 
-def script_top_people(t: Tables) -> None:
-    cast = t.credits.filter("role = 'ACTOR'").select("id", "name")
+def stepwise_top_people(t: Tables) -> None:
     for country in SIX_COUNTRIES:
-        mine = t.catalog.filter(F.lower("countries").like(f"%{country.lower()}%")).join(cast, "id")
-        mine.groupBy("name").count().orderBy(F.desc("count")).limit(25).toPandas()
+        ranking.top_people(t.catalog, [country], credits=t.credits).toPandas()
 
 
-def script_year_trend(t: Tables) -> None:
-    for kind in ("MOVIE", "SHOW"):
-        rows = t.catalog.filter(F.col("type") == kind)
-        counts = rows.groupBy("release_year").count()
-        counts.withColumn("percent", F.col("count") / rows.count() * 100).orderBy("release_year").toPandas()
+def stepwise_year_trend(t: Tables) -> None:
+    for kind in TYPES:
+        aggregates.trend(t.catalog, "release_year", [kind]).toPandas()
 
 
-def script_enrich(t: Tables) -> None:
-    cast = t.credits.filter("role = 'ACTOR'")
-    counts = cast.groupBy("id").agg(F.count("*").alias("actor_count"))
-    names = cast.groupBy("id").agg(F.array_join(F.collect_list("name"), ",").alias("cast"))
-    drained(t.catalog.select("id", "title").join(counts, "id", "left").join(names, "id", "left"))
+def stepwise_enrich(t: Tables) -> None:
+    counted = joins.attach(t.catalog.select("id", "title"), people.people_per_title(t.credits), "id", {"actor_count": 0})
+    drained(counted.join(people.cast_text(people.cast_list(t.credits)), "id", "left"))
 
 
-SCRIPTS = {
-    "type_ratio": script_type_ratio,
-    "top_people": script_top_people,
-    "year_trend": script_year_trend,
-    "enrich": script_enrich,
+STEPWISE = {
+    "type_ratio": stepwise_type_ratio,
+    "top_people": stepwise_top_people,
+    "year_trend": stepwise_year_trend,
+    "enrich": stepwise_enrich,
 }
 
 
@@ -104,10 +97,10 @@ def main() -> None:
         times[name] = seconds(lambda: drained(queries[key](spark, FOLDER)))
     for name, key in FITTED.items():
         times[name] = seconds(lambda: drained(queries[key](spark, FOLDER)))
-    scripts = {}
-    for name, run in SCRIPTS.items():
+    stepwise = {}
+    for name, run in STEPWISE.items():
         run(Tables(spark, FOLDER))
-        scripts[name] = seconds(lambda: run(Tables(spark, FOLDER)))
+        stepwise[name] = seconds(lambda: run(Tables(spark, FOLDER)))
     sf = os.path.basename(FOLDER.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(
@@ -116,7 +109,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
-                "script_style": scripts,
+                "stepwise": stepwise,
                 "sf": sf,
                 "cpus": CPUS,
             }
