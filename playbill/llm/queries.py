@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playbill.llm import language, licenses, packing, repetition, token_files
+from playbill.llm import language, licenses, near_dup, packing, repetition, token_files
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op2_sum_of_squares_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"))
 
 
+def op3_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op5_arrow_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_files(_table(spark, folder, "documents"))
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_sum_of_squares_packing,
+        op3_minhash_bayes,
         op5_arrow_token_files,
         op6_license_index,
         op7_repetition_rules,
