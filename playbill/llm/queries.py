@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playbill.llm import language, licenses, near_dup, packing, repetition, token_files
+from playbill.llm import language, licenses, line_dedup, near_dup, packing, repetition, token_files
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,6 +41,17 @@ def op9_language_ppm(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict_language(docs.withColumn("held_out", held), trees, keep=("doc_id", "held_out"))
 
 
+def op10_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    out = line_dedup.dedup_lines(_table(spark, folder, "documents"))
+    return out.select(
+        "doc_id",
+        "n_lines",
+        F.size("removed_lines").cast("long").alias("n_removed"),
+        F.concat_ws(",", F.col("removed_lines").cast("array<string>")).alias("removed_lines"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -50,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_license_index,
         op7_repetition_rules,
         op9_language_ppm,
+        op10_fuzzy_lines,
     )
 }
 SQL: dict[str, str] = {}
