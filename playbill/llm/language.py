@@ -106,13 +106,12 @@ def context_counts(docs: DataFrame, key: str, text: str, label: str, per_label:
     order = Window.partitionBy("label").orderBy("h")
     # First the cut alone, so that no text is sorted; then equal hashes are broken.
     first = rows_of.select("label", "h").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_label)
-    cut = first.groupBy("label").agg(F.max("h").alias("cut"))
-    few = (
-        rows_of.join(cut, "label")
-        .where("h <= cut")
-        .withColumn("n", F.row_number().over(order))
-        .where(F.col("n") <= per_label)
-    )
+    # One number a language comes to the driver, so the texts are only filtered.
+    cuts = first.groupBy("label").agg(F.max("h").alias("cut")).collect()
+    wanted = F.lit(False)
+    for r in cuts:
+        wanted = wanted | ((F.col("label") == r["label"]) & (F.col("h") <= r["cut"]))
+    few = rows_of.where(wanted).withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_label)
 
     def rows(batches):
         for batch, texts in text_batches(batches, "text"):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playbill.llm import language, licenses, line_dedup, near_dup, packing, repetition, token_files
+from playbill.llm import decontaminate, language, licenses, line_dedup, near_dup, packing, private_data, repetition, token_files
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,17 @@ def op3_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op4_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
+    found = private_data.find_private_data(_table(spark, folder, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(private_data.KINDS[:4])]
+    base = F.sha2(private_data.span_text("base"), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), private_data.span_text("spans").alias("spans"))
+
+
 def op5_arrow_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_files(_table(spark, folder, "documents"))
 
@@ -34,6 +45,44 @@ def op7_repetition_rules(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.quality_rules(_table(spark, folder, "documents"))
 
 
+def op8_positional_index(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    out = decontaminate.contamination(docs, _table(spark, folder, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated"
+    )
+
+
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL
+), iw AS (
+  SELECT item_id, least(len(w), 13) AS n, w, unnest(generate_series(1, len(w) - least(len(w), 13) + 1)) AS s FROM i WHERE len(w) > 0
+), win AS (SELECT DISTINCT item_id, n, array_to_string(w[s : s + n - 1], ' ') AS g FROM iw),
+sizes AS (SELECT DISTINCT n FROM win),
+dw AS (
+  SELECT r, n, w, unnest(generate_series(1, len(w) - n + 1)) AS s FROM d, sizes WHERE len(w) >= n
+), hit AS (
+  SELECT dw.r, dw.s, dw.n, win.item_id FROM dw JOIN win ON win.n = dw.n AND win.g = array_to_string(dw.w[dw.s : dw.s + dw.n - 1], ' ')
+), spots AS (
+  SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(generate_series(s, s + n - 1)) AS p FROM hit) GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS items
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM hit WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN spots USING (r) LEFT JOIN items USING (r)
+""".replace("\\\\", "\\")
+
+
 def op9_language_ppm(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
@@ -57,11 +106,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_sum_of_squares_packing,
         op3_minhash_bayes,
+        op4_weak_supervision,
         op5_arrow_token_files,
         op6_license_index,
         op7_repetition_rules,
+        op8_positional_index,
         op9_language_ppm,
         op10_fuzzy_lines,
     )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op8_positional_index": OP8_SQL}
