@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playbill.llm import decontaminate, language, licenses, line_dedup, near_dup, packing, private_data, repetition, token_files
+from playbill.llm import decontaminate, language, licenses, line_dedup, near_dup, packing, private_data, quality, repetition, token_files
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_empirical_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    good = ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")
+    return quality.quality_scores(docs, _table(spark, folder, "labels"), docs["source"], docs["lang"], good)
+
+
 def op2_sum_of_squares_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"))
 
@@ -104,6 +110,7 @@ def op10_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_empirical_bayes,
         op2_sum_of_squares_packing,
         op3_minhash_bayes,
         op4_weak_supervision,
