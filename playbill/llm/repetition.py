@@ -117,6 +117,8 @@ def quality_rules(
     max_covered: float = 0.4,
     max_longest: float = 0.25,
     least_longest: int = 50,
+    keep: list[str] | None = None,
+    prefix: str = "",
 ) -> DataFrame:
     """Measures and verdict of each document, by repeated passages of whole words.
 
@@ -129,12 +131,15 @@ def quality_rules(
 
     One output row per input row with key, n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, n_covered_words, longest_repeat, base_failed and
-    kept; other input columns are not read. Null and empty texts have no words
-    and fail. Repeated rows are judged one by one. An empty table gives none.
+    kept. ``keep`` names input columns to carry along instead of the key alone;
+    ``prefix`` goes before the new names, where the input has them too. Null and
+    empty texts have no words and fail. Repeated rows are judged one by one. An
+    empty table gives none.
     """
+    keep = keep or [key]
 
     def rows(batches):
-        for batch, texts in text_batches(batches, "text"):
+        for batch, texts in text_batches(batches, "__text"):
             m = _measures(texts, min_words)
             n, rep = m["n_words"], m["n_repeat_words"]
             failed = (n < 50) | (100 * rep > 50 * n)
@@ -143,12 +148,11 @@ def quality_rules(
             )
             arrays = [pa.array(v, pa.int64()) for v in m.values()]
             arrays += [pa.array(failed), pa.array(~failed & good)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], [key, *m, "base_failed", "kept"])
-
-    fields = ", ".join(
-        f"{c} long"
-        for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered_words", "longest_repeat")
-    )
-    kind = docs.schema[key].dataType.simpleString()
-    source = docs.select(docs[key], docs[text].alias("text"))
-    return map_text(source, rows, f"`{key}` {kind}, {fields}, base_failed boolean, kept boolean")
+            names = [prefix + c for c in (*m, "base_failed", "kept")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *arrays], [*keep, *names])
+
+    measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered_words", "longest_repeat")
+    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
+    fields += [f"`{prefix}{c}` long" for c in measures] + [f"`{prefix}{c}` boolean" for c in ("base_failed", "kept")]
+    source = docs.select(*(docs[c] for c in keep), docs[text].alias("__text"))
+    return map_text(source, rows, ", ".join(fields))
