@@ -14,6 +14,7 @@ from playbill.functions.text import (
     first_number,
     has_list_member,
     is_missing,
+    known,
     safe_key,
     split_trimmed,
     strip_list_marks,
@@ -22,6 +23,6 @@ from playbill.functions.text import (
 
 __all__ = [
     "bucket_label", "contains_ignoring_case", "decade", "first_list_member", "first_number",
-    "has_list_member", "is_missing", "normal_pdf", "percent_of", "percent_text", "rescaled",
+    "has_list_member", "is_missing", "known", "normal_pdf", "percent_of", "percent_text", "rescaled",
     "safe_key", "split_trimmed", "strip_list_marks", "text_date",
 ]

@@ -17,6 +17,11 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return col.isNull()
 
 
+def known(df: DataFrame, name: str) -> Column:
+    """The value, null where it is missing, so that aggregates leave it out."""
+    return F.when(~is_missing(df, name), F.col(f"`{name}`"))
+
+
 def text_date(col: Column, fmt: str = "MMMM d, yyyy") -> Column:
     """``September 9, 2019`` to a timestamp; text that is no such date becomes null."""
     return F.try_to_timestamp(F.trim(col), F.lit(fmt))

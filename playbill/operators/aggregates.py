@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playbill.functions import bucket_label, first_number, percent_of
+from playbill.functions import bucket_label, first_number, is_missing, known, percent_of
 from playbill.functions.numbers import SCORE_BELOW, SCORE_EDGES
 from playbill.operators.derive import explode_list
 from playbill.operators.filters import by_type
 from playbill.operators.joins import with_group_total
 
+
 def _rows() -> Column:
     return F.count(F.lit(1))
 
@@ -75,14 +76,14 @@ def avg_by(
     The average skips nulls while the count takes all rows; ``drop_null_scores``
     removes rows without a value before both.
     """
-    rows = df.filter(F.col(col).isNotNull()) if drop_null_scores else df
-    stats = rows.groupBy(key).agg(F.avg(col).alias("avg_score"), _rows().alias("count"))
+    rows = df.filter(~is_missing(df, col)) if drop_null_scores else df
+    stats = rows.groupBy(key).agg(F.avg(known(df, col)).alias("avg_score"), _rows().alias("count"))
     return stats.filter(F.col("count") > min_count)
 
 
 def stats_by(df: DataFrame, key: str, col: str) -> DataFrame:
     """Average, sample deviation, extremes and count per key, over rows with a value."""
-    return df.filter(F.col(col).isNotNull()).groupBy(key).agg(
+    return df.filter(~is_missing(df, col)).groupBy(key).agg(
         F.avg(col).alias("avg_score"),
         F.stddev_samp(col).alias("std_score"),
         F.min(col).alias("min_score"),
@@ -93,7 +94,7 @@ def stats_by(df: DataFrame, key: str, col: str) -> DataFrame:
 
 def means_by(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """Mean of several columns per key."""
-    return df.groupBy(key).agg(*[F.avg(c).alias(f"avg_{c}") for c in cols])
+    return df.groupBy(key).agg(*[F.avg(known(df, c)).alias(f"avg_{c}") for c in cols])
 
 
 def pivot_sum(df: DataFrame, row: str, col: str, values: Sequence[str], v: str) -> DataFrame:

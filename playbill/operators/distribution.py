@@ -11,7 +11,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playbill.functions import is_missing, normal_pdf
+from playbill.functions import is_missing, known, normal_pdf
 
 _ACCURACY = 10_000  # sketch accuracy: rank error at most 1 in 10,000
 _GRID = [i / 200 for i in range(201)]  # quantiles asked for in a narrowing pass
@@ -25,8 +25,8 @@ class _Search:
 
     low: int  # zero-based middle ranks, equal on an odd count
     high: int
-    lo: float
-    hi: float
+    lo: float | None  # None: no bound yet, infinities lie inside
+    hi: float | None
     below: int  # rows up to and including lo
     inside: int  # rows strictly between lo and hi
     ends: tuple[float, float]  # values closer to the middle ranks, from a sketch of the rows inside
@@ -60,12 +60,12 @@ def medians(
     ).first()
     found: dict[str, float | None] = dict.fromkeys(cols)
     searches = {
-        c: _Search((n - 1) // 2, n // 2, -math.inf, math.inf, 0, n, tuple(near))
+        c: _Search((n - 1) // 2, n // 2, None, None, 0, n, tuple(near))
         for c, (n, near) in zip(cols, first)
         if n
     }
     while searches:
-        in_range = {c: (F.col(c) > s.lo) & (F.col(c) < s.hi) for c, s in searches.items()}
+        in_range = {c: _inside(F.col(c), s.lo, s.hi) for c, s in searches.items()}
         rows = values.filter(reduce(or_, in_range.values()))
         steps = {}
         for c, s in searches.items():
@@ -94,6 +94,11 @@ def medians(
     return found
 
 
+def _inside(v: Column, lo: float | None, hi: float | None) -> Column:
+    above = v.isNotNull() if lo is None else v > lo
+    return above if hi is None else above & (v < hi)
+
+
 def _sorted(v: Column) -> Column:
     return F.sort_array(F.collect_list(v))
 
@@ -113,8 +118,14 @@ def _narrowed(c: str, s: _Search, counts) -> _Search | float:
     under, at_lo, inside, at_hi, least, most, grid = counts
     past_lo = s.below + under + at_lo
     past_inside = past_lo + inside
-    if s.low < s.below + under or s.high >= past_inside + (at_hi if hi > lo else 0):
-        raise ArithmeticError(f"quantile sketch of {c} is off by more than its stated error")
+    past_hi = past_inside + (at_hi if hi > lo else 0)
+    if s.low < s.below + under or s.high >= past_hi:
+        # The sketch was off; the exact counts say where the ranks are instead.
+        if s.high < s.below + under:
+            return _Search(s.low, s.high, s.lo, lo, s.below, under, (-math.inf, math.inf))
+        if s.low >= past_hi:
+            return _Search(s.low, s.high, hi, s.hi, past_hi, s.below + s.inside - past_hi, (-math.inf, math.inf))
+        return _Search(s.low, s.high, s.lo, s.hi, s.below, s.inside, (-math.inf, math.inf))
     low = lo if s.low < past_lo else hi if s.low >= past_inside else None
     high = lo if s.high < past_lo else hi if s.high >= past_inside else None
     if low is None and high is None:
@@ -126,14 +137,14 @@ def _narrowed(c: str, s: _Search, counts) -> _Search | float:
 
 def moments(df: DataFrame, col: str) -> DataFrame:
     """Mean and sample standard deviation."""
-    return df.agg(F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"))
+    v = known(df, col)
+    return df.agg(F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"))
 
 
 def _extent(df: DataFrame, col: str) -> Column:
     """Smallest and largest value as a one-row subquery."""
-    return df.agg(
-        F.struct(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi"))
-    ).scalar()
+    v = known(df, col).cast("double")
+    return df.agg(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
 
 
 def histogram(df: DataFrame, col: str, bins: int = 40, density: bool = True) -> DataFrame:
@@ -147,7 +158,7 @@ def histogram(df: DataFrame, col: str, bins: int = 40, density: bool = True) ->
     lo = F.when(one_value, F.col("e.lo") - 0.5).otherwise(F.col("e.lo"))
     hi = F.when(one_value, F.col("e.hi") + 0.5).otherwise(F.col("e.hi"))
     ranged = (
-        df.select(F.col(col).cast("double").alias("v"), extent.alias("e"))
+        df.select(known(df, col).cast("double").alias("v"), extent.alias("e"))
         .filter("v IS NOT NULL")
         .select("v", lo.alias("lo"), ((hi - lo) / bins).alias("width"))
     )
@@ -183,11 +194,12 @@ def histogram(df: DataFrame, col: str, bins: int = 40, density: bool = True) ->
 
 def normal_curve(df: DataFrame, col: str, points: int = 200) -> DataFrame:
     """Normal density fitted to the column, at even steps from its smallest to largest value."""
+    v = known(df, col)
     fitted = df.agg(
-        F.avg(col).alias("mean"),
-        F.stddev_samp(col).alias("std"),
-        F.min(col).cast("double").alias("lo"),
-        F.max(col).cast("double").alias("hi"),
+        F.avg(v).alias("mean"),
+        F.stddev_samp(v).alias("std"),
+        F.min(v).cast("double").alias("lo"),
+        F.max(v).cast("double").alias("hi"),
     )
     last = max(points - 1, 1)
     steps = fitted.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))

@@ -30,13 +30,15 @@ def not_null(df: DataFrame, col: str) -> DataFrame:
 
 
 def in_set(df: DataFrame, col: str, values: Sequence) -> DataFrame:
-    """Rows whose value is in a fixed list; a long list becomes a semi join."""
+    """Rows whose value is in a fixed list; a long list becomes a semi join.
+
+    Values are compared in the column's type on both ways, and columns stay as they are.
+    """
+    kind = df.schema[col].dataType
     if len(values) <= _IN_LIST_LIMIT:
-        return df.filter(F.col(col).isin(*values))
-    wanted = df.sparkSession.createDataFrame(
-        [(v,) for v in set(values)], f"`{col}` {df.schema[col].dataType.simpleString()}"
-    )
-    return df.join(wanted, col, "left_semi")
+        return df.filter(F.col(col).isin(*[F.lit(v).cast(kind) for v in values]))
+    listed = df.sparkSession.createDataFrame([(v,) for v in set(values)], [col])
+    return df.join(listed.select(F.col(f"`{col}`").cast(kind)), col, "left_semi").select(*[df[f"`{c}`"] for c in df.columns])
 
 
 def between(df: DataFrame, col: str, lo, hi) -> DataFrame:

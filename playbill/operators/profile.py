@@ -62,7 +62,7 @@ def distinct_count(
     cols = list(cols or df.columns)
     count = F.approx_count_distinct if approx else F.count_distinct
     measures = [
-        (count(F.col(f"`{c}`")) + F.max(F.col(f"`{c}`").isNull().cast("long"))).alias(c)
+        (count(F.col(f"`{c}`")) + F.coalesce(F.max(F.col(f"`{c}`").isNull().cast("long")), F.lit(0))).alias(c)
         for c in cols
     ]
     return df.select(*cols).agg(*measures).unpivot([], cols, "column", "n_distinct")

@@ -110,8 +110,9 @@ def top_people(
 
 
 def mark_best(df: DataFrame, metric: str, out: str = "is_best") -> DataFrame:
-    """Flag the rows that reach the highest value."""
-    return df.withColumn(out, F.col(metric) == df.agg(F.max(metric)).scalar())
+    """Flag the rows that reach the highest value; a row without one is not among them."""
+    best = F.col(metric) == df.agg(F.max(metric)).scalar()
+    return df.withColumn(out, F.coalesce(best, F.lit(False)))
 
 
 def arg_best(df: DataFrame, name: str, metric: str) -> DataFrame:

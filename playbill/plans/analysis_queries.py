@@ -33,7 +33,7 @@ register(
     lambda t: people.cast_text(people.attach_people(t.catalog.select("id", "title"), t.credits)),
     over_views(
         f"WITH p AS ({CAST_SQL}) SELECT id, title, coalesce(actor_count, 0) AS actor_count, "
-        'CAST(1 AS INT) AS cast_parts, coalesce("cast", \'No Data\') AS "cast" FROM catalog LEFT JOIN p USING (id)'
+        'CAST(0 AS BIGINT) AS part, coalesce("cast", \'No Data\') AS "cast" FROM catalog LEFT JOIN p USING (id)'
     ),
 )
 register(
@@ -57,13 +57,13 @@ register(
 DOMAIN_SQL = (
     "WITH d AS (SELECT CAST(unnest(range(7)) AS INT) AS \"position\", "
     "unnest(['<5', '5-6', '6-7', '7-8', '8-9', '9-10', 'unrated']) AS bucket), "
-    f"g AS (SELECT {BUCKET_SQL} AS bucket, count(*) AS n FROM catalog WHERE score < 9 GROUP BY 1) "
+    f"g AS (SELECT {BUCKET_SQL} AS bucket, count(*) AS n FROM catalog GROUP BY 1) "
     'SELECT "position", bucket, {count} AS "count" FROM d LEFT JOIN g USING (bucket)'
 )
 
 
 def _score_buckets(t: Tables) -> DataFrame:
-    return aggregates.count_by(bucket(t.catalog.filter("score < 9"), "score"), "bucket")
+    return aggregates.count_by(bucket(t.catalog, "score"), "bucket")
 
 
 register(
@@ -433,7 +433,7 @@ register(
         SELECT id, title, type, release_year, coalesce(rating, common) AS rating, coalesce(score, middle) AS score,
         genres, countries, split_part(genres, ',', 1) AS main_genre,
         CAST(floor(release_year / 10) * 10 AS INT) AS "decade", coalesce(n, 0) AS actor_count,
-        CAST(1 AS INT) AS cast_parts, coalesce(names, 'No Data') AS "cast"
+        CAST(0 AS BIGINT) AS part, coalesce(names, 'No Data') AS "cast"
         FROM catalog LEFT JOIN p USING (id), m, q WHERE id % 23 <> 0"""
     ),
 )

@@ -55,7 +55,7 @@ from playbill.operators.derive import (
 from playbill.operators.distribution import histogram, normal_curve
 from playbill.operators.filters import between, in_set, positive
 from playbill.operators.joins import reindex
-from playbill.operators.people import PART_ROWS, attach_people, cast_list
+from playbill.operators.people import PART_ROWS, attach_people
 from playbill.operators.ranking import mark_best, n_largest, top_members, top_people
 
 
@@ -127,11 +127,10 @@ def clean_titles(
 
 @dataclass(frozen=True)
 class CleanCatalog:
-    """Cleaned tables; ``long_casts`` holds the names of titles whose cast needs several rows."""
+    """Cleaned tables; titles have one row per part of their cast, mostly one."""
 
     titles: DataFrame
     credits: DataFrame
-    long_casts: DataFrame
 
 
 def clean_two_tables(
@@ -140,9 +139,7 @@ def clean_two_tables(
     """Clean titles and credits, and attach the actor count and the cast to the titles."""
     people = clean_credits(credits)
     enriched = attach_people(clean_titles(titles, **options), people, part_rows=part_rows)
-    lists = cast_list(people, part_rows=part_rows)
-    several = enriched.filter("cast_parts > 1").select("id")
-    return CleanCatalog(enriched, people, lists.join(several, "id", "left_semi"))
+    return CleanCatalog(enriched, people)
 
 
 def catalogue_report(

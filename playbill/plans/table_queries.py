@@ -55,7 +55,7 @@ def _keyed_sink(t: Tables) -> DataFrame:
 def _partitioned_sink(t: Tables) -> DataFrame:
     path = _through(t, "parts", lambda p: write_partitioned(t.catalog, p, "rating"))
     back = read_result(t.spark, path)
-    return count_by(back.filter("rating IS NOT NULL"), ["rating_key", "rating"])
+    return count_by(back, ["rating_key", "rating"])
 
 
 COUNTRY_SQL = "SELECT trim(unnest(string_split(countries, ','))) AS country FROM catalog"
@@ -88,7 +88,7 @@ register(
     _partitioned_sink,
     over_views(
         "SELECT replace(rating, ' ', '_') AS rating_key, rating, count(*) AS \"count\" FROM catalog "
-        "WHERE rating IS NOT NULL GROUP BY 1, 2"
+        "GROUP BY 1, 2"
     ),
 )
 
@@ -117,8 +117,8 @@ register(
 )
 register(
     "c03_preview",
-    lambda t: profile.preview(t["orders"], 100, ["o_orderkey"]).drop("o_orderdate"),
-    "SELECT * EXCLUDE (o_orderdate) FROM orders ORDER BY o_orderkey LIMIT 100",
+    lambda t: profile.preview(t["orders"], 100, ["o_orderkey"]).withColumn("o_orderdate", F.col("o_orderdate").cast("string")),
+    "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate) FROM orders ORDER BY o_orderkey LIMIT 100",
 )
 register(
     "c04_null_rate",
@@ -189,10 +189,12 @@ register(
 )
 register(
     "c12_dedup_key",
-    lambda t: clean.dedup_by(t["lineitem"].drop("l_shipdate"), ["l_orderkey"], ["l_linenumber", "l_partkey"]),
-    """SELECT * EXCLUDE (l_shipdate) FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey
+    lambda t: clean.dedup_by(
+        t["lineitem"].withColumn("l_shipdate", F.col("l_shipdate").cast("string")), ["l_orderkey"], ["l_linenumber", "l_partkey"]
+    ),
+    """SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey
     ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
-    l_returnflag, l_linestatus) = 1""",
+    l_returnflag, l_linestatus, l_shipdate) = 1""",
 )
 register(
     "c13_cast",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -35,17 +38,19 @@ def tuned_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder; on a
-    cluster a machine-local folder would lose data with its executor.
+    Only a session in one process (``local`` or ``local[n]``) without that setting
+    gets a temporary folder, removed when it ends; on a cluster, ``local-cluster``
+    included, a machine-local folder would lose data with its executor.
     """
     global _local_dir
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if _local_dir is None:
         _local_dir = tempfile.mkdtemp(prefix="playbill-")
+        atexit.register(shutil.rmtree, _local_dir, ignore_errors=True)
     return _local_dir
 
 

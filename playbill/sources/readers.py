@@ -17,6 +17,9 @@ def read_titles_csv(
 ) -> DataFrame:
     """CSV with a header, fields quoted by and escaped with ``"``.
 
+    The header must name the columns of the schema in its order; a file that
+    does not is an error, not a table with swapped columns.
+
     ``multiline`` allows line breaks inside quoted fields, at the price that a
     file can no longer be split between tasks: use it at the first ingest, on
     many files, and keep the cleaned table as Parquet.
@@ -28,6 +31,7 @@ def read_titles_csv(
         .option("escape", '"')
         .option("encoding", _charset(encoding))
         .option("multiLine", multiline)
+        .option("enforceSchema", False)
         .csv(path)
     )
 
@@ -43,12 +47,12 @@ def first_columns(df: DataFrame, n: int) -> DataFrame:
 
 
 def read_result(
-    spark: SparkSession, path: str, schema: StructType | str | None = None, fmt: str = "parquet"
+    spark: SparkSession, path: str, schema: StructType | str | None = None, fmt: str = "parquet", multiline: bool = True
 ) -> DataFrame:
-    """A stored result. Parquet knows its schema, CSV needs one."""
+    """A stored result. Parquet knows its schema, CSV needs one, and may have line breaks in its fields."""
     if fmt == "csv":
         if schema is None:
             raise ValueError("a CSV result needs a schema")
-        return read_titles_csv(spark, path, schema)
+        return read_titles_csv(spark, path, schema, multiline=multiline)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.format(fmt).load(path)

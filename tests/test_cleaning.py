@@ -153,3 +153,10 @@ def test_long_value_lists_become_a_semi_join(spark):
     df = spark.range(5_000)
     wanted = list(range(0, 4_000, 2))
     assert filters.in_set(df, "id", wanted).count() == 2_000
+
+
+@pytest.mark.parametrize("n", [3, 1_001])
+def test_value_lists_keep_columns_and_types(spark, n):
+    df = spark.range(5_000).selectExpr("CAST(id % 7 AS STRING) AS v", "id AS k")
+    got = filters.in_set(df, "k", [str(i) for i in range(n)])
+    assert got.schema == df.schema and got.count() == n

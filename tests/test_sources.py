@@ -41,6 +41,34 @@ def test_keyed_result_gets_its_label(spark, tmp_path):
         read_result(spark, str(tmp_path / "r"), fmt="csv")
 
 
+def test_swapped_header_is_an_error(spark, tmp_path):
+    path = tmp_path / "s.csv"
+    path.write_text("id,name\n1,a\n")
+    with pytest.raises(Exception, match="header"):
+        read_titles_csv(spark, str(path), "name string, id string").collect()
+
+
+def test_line_breaks_in_results(spark, tmp_path):
+    df = spark.createDataFrame([("a\nb", 1)], "key string, n int")
+    write_result(df, str(tmp_path / "r"))
+    assert read_result(spark, str(tmp_path / "r"), df.schema, "csv").collect() == [("a\nb", 1)]
+
+
+def test_shared_folder_is_needed_beyond_one_process():
+    class Context:
+        master = "local-cluster[2,1,512]"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError):
+        session.shared_dir(Session())
+
+
 def test_partition_folders_hold_all_rows(spark, tmp_path):
     rows = [(i, "South Korea" if i % 3 else "Japan") for i in range(300)]
     path = str(tmp_path / "p")
