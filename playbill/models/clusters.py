@@ -16,9 +16,11 @@ from playbill.operators.ranking import mark_best
 
 
 def _ready(df: DataFrame, cols: Sequence[str], nulls: str) -> DataFrame:
-    """Rows fit for vectors; ``nulls`` is skip (leave rows with gaps out) or fill (with 0)."""
-    if nulls not in ("skip", "fill"):
-        raise ValueError("nulls must be skip or fill")
+    """Rows fit for vectors. A gap is an error, unless ``nulls`` is skip (leave such rows out) or fill (with 0)."""
+    if nulls not in ("error", "skip", "fill"):
+        raise ValueError("nulls must be error, skip or fill")
+    if nulls == "error":
+        return df
     return df.na.drop(subset=list(cols)) if nulls == "skip" else df.na.fill(0, subset=list(cols))
 
 
@@ -34,20 +36,21 @@ def _stages(cols: Sequence[str], *last) -> Pipeline:
 
 
 def cluster(
-    df: DataFrame, cols: Sequence[str], k: int = 6, seed: int = 1, nulls: str = "skip", keep: Sequence[str] = ("id",)
+    df: DataFrame, cols: Sequence[str], k: int = 6, seed: int = 1, nulls: str = "error",
+    keep: Sequence[str] = ("id",), partitions: int | None = None,
 ) -> DataFrame:
     """Cluster number per row, next to its ids and raw columns."""
-    with held(df.select(*cols)) as rows:
+    with held(df.select(*cols), partitions) as rows:
         fitted = _stages(cols, KMeans(k=k, seed=seed)).fit(_ready(rows, cols, nulls))
     return fitted.transform(_ready(df, cols, nulls)).select(*keep, "prediction", *cols)
 
 
 def k_sweep(
-    df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(2, 20), seed: int = 1, nulls: str = "skip",
-    parallelism: int = PARALLEL_FITS,
+    df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(2, 20), seed: int = 1, nulls: str = "error",
+    parallelism: int = PARALLEL_FITS, partitions: int | None = None,
 ) -> DataFrame:
     """Silhouette per number of clusters, best one flagged. The columns are read once."""
-    with held(df.select(*cols)) as rows:
+    with held(df.select(*cols), partitions) as rows:
         ready = _ready(rows, cols, nulls)
         vectors = _stages(cols).fit(ready).transform(ready).select("features")
 

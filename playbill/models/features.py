@@ -9,22 +9,26 @@ from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, Vec
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_LABELS = 10_000  # a label list lives on the driver and widens every vector
 
-
-def check_labels(df: DataFrame, cols: Sequence[str], max_labels: int = MAX_LABELS) -> None:
-    """Refuse to index free text: an index keeps all labels of a column in memory."""
-    found = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(c) for c in cols]).first()
+def check_labels(df: DataFrame, cols: Sequence[str], max_labels: int) -> None:
+    """Refuse columns with more than ``max_labels`` different values, counted exactly."""
+    found = df.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(c) for c in cols]).first()
     wide = [c for c in cols if found[c] > max_labels]
     if wide:
         raise ValueError(f"more than {max_labels} different values in {wide}")
 
 
 def index(
-    df: DataFrame, cols: Sequence[str], invalid: str = "keep", max_labels: int = MAX_LABELS
+    df: DataFrame, cols: Sequence[str], invalid: str = "keep", max_labels: int | None = None
 ) -> DataFrame:
-    """Label numbers by falling count, ties by name; ``keep`` adds a slot for unseen labels."""
-    check_labels(df, cols, max_labels)
+    """Label numbers by falling count, ties by name; ``keep`` adds a slot for unseen labels.
+
+    The list of labels lives on the driver: it is for categories. A caller who is
+    not sure sets ``max_labels``; free text is hashed instead, as in
+    ``supervised.feature_accuracy``.
+    """
+    if max_labels is not None:
+        check_labels(df, cols, max_labels)
     indexer = StringIndexer(
         inputCols=list(cols), outputCols=[f"{c}_index" for c in cols], handleInvalid=invalid
     )

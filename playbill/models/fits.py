@@ -10,26 +10,19 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 PARALLEL_FITS = 4
-_ROWS_PER_TASK = 50_000  # fewer rows are done before a task is worth its start
 
 
 @contextmanager
-def held(df: DataFrame) -> Iterator[DataFrame]:
-    """Persist raw columns while a block runs, spread over the cores they can keep busy.
+def held(df: DataFrame, partitions: int | None = None) -> Iterator[DataFrame]:
+    """Persist raw columns while a block runs, spread over ``partitions`` if the caller says so.
 
-    Fits make many passes, so a table that sits in few partitions for its number of
-    rows is spread once, over all cores at most. Vectors built on top stay uncached: the learners keep their own
-    unpacked copy, which is cheaper to iterate over than a cached vector column.
+    Fits make many passes. Vectors built on top stay uncached: the learners keep
+    their own unpacked copy, which is cheaper to iterate over than a cached vector
+    column. Seeding and bagging of some learners follow the partitions of their
+    rows, so a fitted model is the same only for the same layout.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = (df.repartition(partitions) if partitions else df).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        useful = min(cores, -(-kept.count() // _ROWS_PER_TASK))
-        if kept.rdd.getNumPartitions() < useful:
-            spread = kept.repartition(useful).persist(StorageLevel.MEMORY_AND_DISK)
-            spread.count()
-            kept.unpersist()
-            kept = spread
         yield kept
     finally:
         kept.unpersist()

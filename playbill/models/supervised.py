@@ -7,14 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, StringIndexer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playbill.functions.text import NO_DATA
-from playbill.models.features import check_labels, feature_pipeline, feature_stages, split
+from playbill.models.features import feature_pipeline, feature_stages, split
 from playbill.models.fits import PARALLEL_FITS, fit_each, held
 from playbill.models.metrics import class_metrics, reg_metrics
 from playbill.operators.profile import distinct_count
@@ -65,8 +65,6 @@ def fit_classifier(
 
 
 def _fit_classifier(rows, kind, cat, num, label, seed=42, **params) -> PipelineModel:
-    if cat:
-        check_labels(rows, cat)
     if kind == "gbt":
         _two_classes(rows, label)
         ensure_checkpoint_dir(rows.sparkSession)
@@ -87,8 +85,6 @@ def _with_target(df: DataFrame, target: str) -> DataFrame:
 
 
 def _fit_regressor(rows, kind, cat, num, seed=42, **params) -> PipelineModel:
-    if cat:
-        check_labels(rows, cat)
     if kind == "gbt":
         ensure_checkpoint_dir(rows.sparkSession)
     stages = [*feature_pipeline(cat, num).getStages(), regressor(kind, seed, **params)]
@@ -188,41 +184,32 @@ def feature_accuracy(
     key: str = "id",
     trees: int = 20,
     seed: int = 42,
-    max_values: int = 1_000,
+    buckets: int = 512,
     parallelism: int = PARALLEL_FITS,
 ) -> DataFrame:
     """Test accuracy of a forest on each single column, best one flagged.
 
-    A column with more than ``max_values`` different values (free text) is
-    listed without an accuracy. Values are counted with a sketch first and
-    exactly only where they are few.
+    Values are hashed into ``buckets`` slots, the same for every column, so free
+    text is scored like a category and no list of values is kept.
     """
-    rough = {r["column"]: r["n_distinct"] for r in distinct_count(df, cols, approx=True).collect()}
-    few = [c for c in cols if rough[c] <= 2 * max_values]
-    with held(df.select(key, label, *[F.col(c).cast("string").alias(c) for c in few])) as rows:
-        exact = {r["column"]: r["n_distinct"] for r in distinct_count(rows, few).collect()} if few else {}
+    with held(df.select(key, label, *[F.col(c).cast("string").alias(c) for c in cols])) as rows:
+        counts = {r["column"]: r["n_distinct"] for r in distinct_count(rows, cols).collect()}
         train, test = split(rows, key, 0.7, seed)
 
-        def score(c: str) -> tuple[str, int, float | None]:
-            n = exact.get(c, rough[c])
-            return c, n, _one_feature(train, test, c, n, label, trees, seed) if n <= max_values else None
+        def score(c: str) -> tuple[str, int, float]:
+            return c, counts[c], _one_feature(train, test, c, label, trees, seed, buckets)
 
         results = fit_each(df.sparkSession, score, cols, parallelism)
     table = df.sparkSession.createDataFrame(results, "feature string, n_distinct long, accuracy double")
     return mark_best(table, "accuracy")
 
 
-def _one_feature(train, test, col, n_distinct, label, trees, seed) -> float:
+def _one_feature(train, test, col, label, trees, seed, buckets) -> float:
     stages = [
         StringIndexer(inputCol=label, outputCol="label"),
-        StringIndexer(inputCol=col, outputCol="__index", handleInvalid="keep"),
+        FeatureHasher(inputCols=[col], outputCol="features", numFeatures=buckets, categoricalCols=[col]),
+        RandomForestClassifier(numTrees=trees, seed=seed, featureSubsetStrategy="all"),
     ]
-    source = "__index"
-    if n_distinct > 2:
-        stages.append(OneHotEncoder(inputCol="__index", outputCol="__vec"))
-        source = "__vec"
-    stages.append(VectorAssembler(inputCols=[source], outputCol="features"))
-    stages.append(RandomForestClassifier(numTrees=trees, seed=seed))
     model = Pipeline(stages=stages).fit(train.select(label, col))
     return class_metrics(model.transform(test.select(label, col))).first()["accuracy"]
 

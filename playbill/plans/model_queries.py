@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from playbill.models import clusters, features, metrics, supervised
 from playbill.operators.ranking import stack
 from playbill.plans import reports
+from playbill.operators.clean import fill_median
 from playbill.plans.registry import over_views, register, rounded
 from playbill.plans.views import Tables
 
@@ -227,8 +228,89 @@ def _importance(t: Tables) -> DataFrame:
 
 
 register("m17_importance", _importance)
-register("m18_kmeans", lambda t: clusters.cluster(t.model_titles, NUMBERS, keep=("id", "title", "type", "main_genre")))
-register("m19_silhouette_sweep", lambda t: rounded(clusters.k_sweep(t.model_titles, NUMBERS), "silhouette"))
+
+
+def _no_gaps(t: Tables) -> DataFrame:
+    """All titles, gaps in their numbers filled by the median, as the clusters need them."""
+    return fill_median(t.model_titles, NUMBERS)
+
+
+register("m18_kmeans", lambda t: clusters.cluster(_no_gaps(t), NUMBERS, keep=("id", "title", "type", "main_genre")))
+register("m19_silhouette_sweep", lambda t: rounded(clusters.k_sweep(_no_gaps(t), NUMBERS), "silhouette"))
+
+# -- fits whose outcome is known ------------------------------------------------
+
+
+def _marked(t: Tables) -> DataFrame:
+    """Orders with two small numbers, a label that the first decides, and a linear target."""
+    a, b = F.col("o_custkey") % 10, F.col("o_orderkey") % 7
+    return t["orders"].select(
+        F.col("o_orderkey").alias("id"), a.cast("double").alias("a"), b.cast("double").alias("b"),
+        F.when(a >= 5, "high").otherwise("low").alias("type"), (2 * a + 3 * b + 1).cast("double").alias("target"),
+        (1000 * (F.col("o_custkey") % 3) + b).cast("double").alias("spot"),
+    )
+
+
+def _sure(kind: str):
+    def run(t: Tables) -> DataFrame:
+        train, test = features.split(_marked(t), "id", bucket=F.col("id") % 100)
+        model = supervised.fit_classifier(train, kind, [], ["a", "b"])
+        shown = supervised.score_table(model, test, ["type"])
+        right = F.count_if(F.col("label") == F.col("prediction")).alias("right")
+        return shown.groupBy("type").agg(F.count(F.lit(1)).alias("count"), right)
+
+    return run
+
+
+SURE_SQL = """SELECT CASE WHEN o_custkey % 10 >= 5 THEN 'high' ELSE 'low' END AS type, count(*) AS "count",
+count(*) AS "right" FROM orders WHERE o_orderkey % 100 >= 70 GROUP BY 1"""
+register("m09_forest_classifier_sure", _sure("rf"), SURE_SQL)
+register("m10_logistic_sure", _sure("lr"), SURE_SQL)
+register("m11_boosted_classifier_sure", _sure("gbt"), SURE_SQL)
+
+
+def _exact_line(t: Tables) -> DataFrame:
+    model = supervised.fit_regressor(_marked(t), "lr", [], ["a", "b"], "target")
+    return supervised.coefficients(model, _marked(t)).select("feature", F.round("weight", 4).alias("weight"))
+
+
+register(
+    "m14_linear_regression_exact",
+    _exact_line,
+    "SELECT * FROM (VALUES ('a', 2.0::DOUBLE), ('b', 3.0::DOUBLE), ('(intercept)', 1.0::DOUBLE)) AS w(feature, weight)",
+)
+
+
+def _apart(t: Tables) -> DataFrame:
+    found = clusters.cluster(_marked(t), ["spot"], k=3)
+    sizes = found.groupBy("prediction").agg(F.min("spot").alias("lo"), F.max("spot").alias("hi"), F.count(F.lit(1)).alias("size"))
+    return sizes.drop("prediction")
+
+
+register(
+    "m18_kmeans_apart",
+    _apart,
+    """SELECT CAST(min(1000 * (o_custkey % 3) + o_orderkey % 7) AS DOUBLE) AS lo,
+    CAST(max(1000 * (o_custkey % 3) + o_orderkey % 7) AS DOUBLE) AS hi, count(*) AS size FROM orders GROUP BY o_custkey % 3""",
+)
+register(
+    "m19_silhouette_sweep_apart",
+    lambda t: clusters.k_sweep(_marked(t), ["spot"], ks=range(2, 6)).select("k", "is_best"),
+    "SELECT CAST(unnest(range(2, 6)) AS INT) AS k, unnest(range(2, 6)) = 3 AS is_best",
+)
+
+
+def _sweep_marked(t: Tables) -> DataFrame:
+    named = _marked(t).withColumns({"same": F.col("type"), "constant": F.lit("x")})
+    swept = supervised.feature_accuracy(named, ["same", "constant"])
+    return swept.select("feature", "n_distinct", (F.round("accuracy", 6) == 1).alias("perfect"), "is_best")
+
+
+register(
+    "m07_feature_sweep_marked",
+    _sweep_marked,
+    "SELECT * FROM (VALUES ('same', 2::BIGINT, true, true), ('constant', 1::BIGINT, false, false)) AS w(feature, n_distinct, perfect, is_best)",
+)
 
 # -- metrics -------------------------------------------------------------------
 

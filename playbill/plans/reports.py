@@ -202,14 +202,15 @@ def model_report(
     clusters and classifiers and the target of the regressors.
     """
     numbers = [score, *num]
-    clustered = cluster(titles, numbers, k, keep=("id", "title", label))
+    whole = fill_median(titles, numbers)
+    clustered = cluster(whole, numbers, k, keep=("id", "title", label))
     train, test = split(fill_features(titles, cat, numbers), "id")
     boosted = fit_classifier(train, "gbt", cat, numbers, label)
     reg_train, _ = split(fill_features(titles.filter(F.col(score).isNotNull()), cat, num), "id")
     forest = fit_regressor(reg_train, "rf", cat, num, score)
     boosted_score = fit_regressor(reg_train, "gbt", cat, num, score)
     return {
-        "k_sweep": k_sweep(titles, numbers, ks),
+        "k_sweep": k_sweep(whole, numbers, ks),
         "clusters": clustered,
         "cluster_profile": cluster_profile(clustered, numbers),
         "classifiers": compare_classifiers(titles, cat, numbers, label, grid=grid),

@@ -90,9 +90,9 @@ def test_tuning_reports_every_combination(planted):
     assert "prediction" in model.transform(train).columns
 
 
-def test_feature_sweep_skips_free_text_and_flags_the_best(planted):
-    done = {r["feature"]: r for r in supervised.feature_accuracy(planted, ["title", "runtime", "genre"], max_values=100).collect()}
-    assert done["title"]["accuracy"] is None and done["title"]["n_distinct"] > 100
+def test_feature_sweep_scores_free_text_too_and_flags_the_best(planted):
+    done = {r["feature"]: r for r in supervised.feature_accuracy(planted, ["title", "runtime", "genre"]).collect()}
+    assert done["title"]["accuracy"] is not None and done["title"]["n_distinct"] > 100
     assert done["runtime"]["is_best"] and done["runtime"]["accuracy"] > done["genre"]["accuracy"]
 
 
@@ -122,13 +122,15 @@ def test_regression_drops_missing_targets(planted):
 def test_clusters_and_best_k(spark):
     rows = [(i, 10.0 * (i % 3) + i * 7 % 31 / 31, 10.0 * ((i + 1) % 3) + i * 11 % 29 / 29) for i in range(90)] + [(99, None, 1.0)]
     df = spark.createDataFrame(rows, "id int, a double, b double")
-    done = clusters.cluster(df, ["a", "b"], k=3).collect()
+    done = clusters.cluster(df, ["a", "b"], k=3, nulls="skip").collect()
     assert len(done) == 90 and len({(r["id"] % 3, r["prediction"]) for r in done}) == 3
     assert len(clusters.cluster(df, ["a", "b"], k=3, nulls="fill").collect()) == 91
-    best = [r["k"] for r in clusters.k_sweep(df, ["a", "b"], ks=[2, 3, 4]).collect() if r["is_best"]]
+    best = [r["k"] for r in clusters.k_sweep(df, ["a", "b"], ks=[2, 3, 4], nulls="skip").collect() if r["is_best"]]
     assert best == [3]
     with pytest.raises(ValueError):
         clusters.cluster(df, ["a"], nulls="guess")
+    with pytest.raises(Exception, match="null"):
+        clusters.cluster(df, ["a", "b"], k=3)
     scaled = reports.cluster_chart(
         clusters.cluster_profile(spark.createDataFrame(done).withColumnsRenamed({"a": "release_year", "b": "actor_count"}), ["release_year", "actor_count"])
     )
