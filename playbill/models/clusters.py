@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playbill.models.fits import PARALLEL_FITS, fit_each, held
-from playbill.models.metrics import silhouette_score
+from playbill.models.metrics import silhouettes
 from playbill.operators.ranking import mark_best
 
 
@@ -49,15 +49,22 @@ def k_sweep(
     df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(2, 20), seed: int = 1, nulls: str = "error",
     parallelism: int = PARALLEL_FITS, partitions: int | None = None,
 ) -> DataFrame:
-    """Silhouette per number of clusters, best one flagged. The columns are read once."""
+    """Silhouette per number of clusters, best one flagged.
+
+    The columns are read once, all groupings are scored together.
+    """
     with held(df.select(*cols), partitions) as rows:
         ready = _ready(rows, cols, nulls)
         vectors = _stages(cols).fit(ready).transform(ready).select("features")
 
-        def score(k: int) -> tuple[int, float]:
-            return k, silhouette_score(KMeans(k=k, seed=seed).fit(vectors).transform(vectors))
+        def fit(k: int):
+            return KMeans(k=k, seed=seed, predictionCol=f"__k{k}").fit(vectors)
 
-        scores = fit_each(df.sparkSession, score, ks, parallelism)
+        grouped = vectors
+        for model in fit_each(df.sparkSession, fit, ks, parallelism):
+            grouped = model.transform(grouped)
+        found = silhouettes(grouped, [f"__k{k}" for k in ks])
+    scores = [(k, found[f"__k{k}"]) for k in ks]
     table = df.sparkSession.createDataFrame(scores, "k int, silhouette double")
     return mark_best(table, "silhouette")
 

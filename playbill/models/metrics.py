@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -61,3 +62,48 @@ def silhouette_score(df: DataFrame, features: str = "features", cluster: str = "
     """The same for a vector column, as a number."""
     rows = df.select(features, F.col(cluster).cast("double").alias("__cluster"))
     return ClusteringEvaluator(featuresCol=features, predictionCol="__cluster").evaluate(rows)
+
+
+def silhouettes(df: DataFrame, groupings: Sequence[str], features: str = "features") -> dict[str, float | None]:
+    """Mean silhouette of each of several groupings of the same rows, in two passes for all.
+
+    ``groupings`` are columns of cluster numbers. The first pass sums up every
+    cluster (rows, vector, squared length), a few numbers each; the second
+    compares each row with those sums. None where a grouping has one cluster.
+    """
+    names = list(groupings)
+    x = vector_to_array(features)
+    rows = df.select(x.alias("x"), *names).withColumn("norm", F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))
+    numbered = F.array(*[F.struct(F.lit(i).alias("g"), F.col(c).cast("int").alias("c")) for i, c in enumerate(names)])
+    first = rows.select("x").first()
+    if first is None:
+        return dict.fromkeys(names)
+    sums = [F.sum(F.get("x", F.lit(i))).alias(f"s{i}") for i in range(len(first["x"]))]
+    totals = rows.select("x", "norm", F.inline(numbered)).groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"), F.avg("norm").alias("q"), *sums).collect()
+
+    def score(g: int, name: str) -> Column:
+        own = {r["c"]: r for r in totals if r["g"] == g}
+        stats = F.array(*[_cluster_sums(own.get(c), len(sums)) for c in range(max(own) + 1)])
+        at = F.col(name).cast("int")
+
+        def distance(c: Column) -> Column:
+            dot = F.aggregate(F.zip_with("x", c["mean"], lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
+            apart = F.col("norm") + c["q"] - 2 * dot
+            return F.when(apart < 0, 0.0).otherwise(apart)
+
+        far = F.transform(stats, lambda c: F.struct(distance(c).alias("d"), c["n"].alias("n")))
+        others = F.array_min(F.transform(far, lambda d, i: F.when(i != at, d["d"])))
+        mine = F.get(far, at)
+        inside = mine["d"] * mine["n"] / (mine["n"] - 1)
+        value = (others - inside) / F.nullif(F.greatest(others, inside), F.lit(0.0))
+        return F.avg(F.when(mine["n"] == 1, F.lit(0.0)).when(others.isNotNull(), F.coalesce(value, F.lit(0.0)))).alias(name)
+
+    return rows.agg(*[score(i, c) for i, c in enumerate(names)]).first().asDict()
+
+
+def _cluster_sums(r, width: int) -> Column:
+    """Rows, mean vector and mean squared length of a cluster; nulls for one without rows."""
+    none = F.lit(None).cast("double")
+    mean = F.array(*[F.lit(r[f"s{i}"] / r["n"]) if r else none for i in range(width)])
+    n, q = (F.lit(float(r["n"])), F.lit(r["q"])) if r else (none, none)
+    return F.struct(n.alias("n"), mean.alias("mean"), q.alias("q"))

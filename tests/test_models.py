@@ -144,3 +144,14 @@ def test_metrics_of_small_tables(spark):
     assert row["f1"] == pytest.approx((2 * (2 / 3) + 1 * (1 / 2)) / 4)
     reg = metrics.reg_metrics(spark.createDataFrame([(1.0, 2.0), (3.0, 3.0)], "label double, prediction double")).first()
     assert (reg["mse"], reg["r2"]) == (0.5, 0.5)
+
+
+def test_silhouettes_equal_the_evaluators(spark):
+    rows = [(i * 7 % 31 / 31 + 5 * (i % 3), i * 11 % 29 / 29, i % 3, (i % 3) * 2 if i else 5, 0) for i in range(60)]
+    df = spark.createDataFrame(rows, "a double, b double, g int, h int, one int").repartition(3)
+    df = features.assemble(df, ["a", "b"])
+    got = metrics.silhouettes(df, ["g", "h", "one"])
+    for name in ("g", "h"):
+        assert abs(got[name] - metrics.silhouette_score(df, "features", name)) < 1e-9
+    assert got["one"] is None
+    assert metrics.silhouettes(df.limit(0), ["g"]) == {"g": None}
