@@ -30,6 +30,12 @@ def pick(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(ids) if few else ids.hint("merge"), key, "left_semi")
 
 
+def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key is not among ``ids``; null keys stay. The other half of :func:`pick`."""
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids) if few else ids.hint("merge"), key, "left_anti")
+
+
 def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, component) of every id in ``links`` (a, b): the smallest id it reaches.
 
