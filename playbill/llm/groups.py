@@ -69,6 +69,8 @@ def linked_groups(
     close: Callable[[Column, Column], Column],
     confirm: Callable[[DataFrame], DataFrame],
     known: DataFrame | None = None,
+    refine: Callable[[DataFrame], DataFrame] | None = None,
+    closer: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Connected groups of the true links among ids that share a bucket.
 
@@ -80,7 +82,9 @@ def linked_groups(
     are first paired with one hub, the id that shares most buckets overall; then
     ids that still differ in group with a hub chosen anew, once inside the hub's
     group and once outside. Only then are pairs across groups of a bucket
-    compared, all of them, so no link between groups is lost.
+    compared, all of them, so no link between groups is lost. For these ids alone
+    ``refine`` may give longer sketches (id, more), tested by ``closer`` inside
+    the join, so that pairs just below the threshold are not written out.
     """
     rows = buckets.repartition("bucket")
     many = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
@@ -125,11 +129,13 @@ def linked_groups(
     groups = connected(links)
 
     mixed = stored(labelled().join(inner.select("id", "sketch"), "id").select("bucket", "id", "label", "sketch"), "mixed")
+    test = close(F.col("x.sketch"), F.col("y.sketch"))
+    if refine and closer:
+        mixed = mixed.join(refine(stored(mixed.select("id").distinct(), "ids")), "id")
+        test = test & closer(F.col("x.more"), F.col("y.more"))
     x, y = mixed.alias("x"), mixed.alias("y")
-    across = x.join(
-        y.hint("merge"),
-        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") < F.col("y.label")) & close(F.col("x.sketch"), F.col("y.sketch")),
-    )
+    apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") < F.col("y.label"))
+    across = x.join(y.hint("merge"), apart & test)
     fresh = across.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     fresh = stored(fresh.join(done, ["a", "b"], "left_anti"), "pairs")
     return connected(links.union(stored(confirm(fresh), "confirmed")))

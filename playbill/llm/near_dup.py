@@ -17,6 +17,8 @@ BANDS, ROWS = 40, 6
 # Signature values; each leaves BITS bits in a sketch of longs, compared in batches.
 VALUES, BITS = 256, 2
 BATCHES = (2, 4, 8)
+# Values of the longer sketch, computed where pairs across groups are left.
+MORE_VALUES = 2048
 # Chance that a batch rejects a pair although its similarity reaches the threshold.
 MISS = 1e-5
 
@@ -55,17 +57,18 @@ def shingle_set(text: str, memory: _WordHashes, words: int = WORDS) -> np.ndarra
     return np.unique(_mix(total))
 
 
-def _permutations() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(7)
-    a = rng.integers(0, 1 << 32, VALUES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-    return a[:, None], rng.integers(0, 1 << 32, VALUES, dtype=np.uint64).astype(np.uint32)[:, None]
+def _permutations(values: int = VALUES) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(values)
+    a = rng.integers(0, 1 << 32, values, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+    return a[:, None], rng.integers(0, 1 << 32, values, dtype=np.uint64).astype(np.uint32)[:, None]
 
 
 def _least(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    out = np.full(VALUES, np.uint32(0xFFFFFFFF))
-    for i in range(0, len(x), 2048):
-        np.minimum(out, (a * x[None, i : i + 2048] + b).min(1), out=out)
+    out = np.full(len(a), np.uint32(0xFFFFFFFF))
+    step = max(1, 500_000 // len(a))
+    for i in range(0, len(x), step):
+        np.minimum(out, (a * x[None, i : i + step] + b).min(1), out=out)
     return out
 
 
@@ -135,8 +138,7 @@ def close_sketches(a: Column, b: Column) -> Column:
     per_long, tests, differ = 64 // BITS, None, F.lit(0)
     for i in range(max(BATCHES)):
         x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
-        if BITS == 2:
-            x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
         differ = differ + F.bit_count(x)
         if i + 1 in BATCHES:
             own = differ <= allowed_differences((i + 1) * per_long)
@@ -144,6 +146,18 @@ def close_sketches(a: Column, b: Column) -> Column:
     return tests
 
 
+def closer_sketches(a: Column, b: Column) -> Column:
+    """The same test on the longer sketches."""
+    low = F.lit(0x5555555555555555)
+
+    def differ(x: Column, y: Column) -> Column:
+        d = x.bitwiseXOR(y)
+        return F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(low))
+
+    total = F.aggregate(F.zip_with(a, b, differ), F.lit(0), lambda n, d: n + d)
+    return total <= allowed_differences(MORE_VALUES)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Groups of documents whose sets of five-word shingles overlap by 75 percent or more.
 
@@ -169,6 +183,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     texts_of = some.join(classes, "set_key").groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.collect_set("rep").alias("reps"))
     known = texts_of.where("a < b").select("a", F.explode("reps").alias("b")).where("a <> b")
 
+    texts = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"))
+
+    def refine(ids: DataFrame) -> DataFrame:
+        def rows(batches):
+            memory = _WordHashes()
+            a, b = _permutations(MORE_VALUES)
+            for batch, own in text_batches(batches, "text"):
+                least = np.array([_least(shingle_set(t, memory), a, b) for t in own], np.uint32)
+                more = pa.array(list(_sketches(least)), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), more], ["id", "more"])
+
+        return stored(map_text(pick(texts, ids, "id"), rows, "id long, more array<long>"), "sketches")
+
     def confirm(pairs: DataFrame) -> DataFrame:
         ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
 
@@ -178,14 +205,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                 own = [shingle_set(t, memory).view(np.int64) for t in texts]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int64()))], ["id", "shingles"])
 
-        texts = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"))
         sets = stored(map_text(pick(texts, ids, "id"), rows, "id long, shingles array<long>"), "sets")
         a, b = sets.toDF("a", "x"), sets.toDF("b", "y")
         both = F.size(F.array_intersect("x", "y"))
         full = pairs.join(a, "a").join(b, "b").withColumn("both", both)
         return full.where(100 * F.col("both") >= PERCENT * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b").distinct()
 
-    groups = linked_groups(buckets, sketches, close_sketches, confirm, known)
+    groups = linked_groups(buckets, sketches, close_sketches, confirm, known, refine, closer_sketches)
     of_rep = classes.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     found = marks.select("id", "n_shingles", "set_key").join(of_rep, "set_key", "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id"))
