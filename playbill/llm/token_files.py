@@ -26,9 +26,15 @@ _TASK_BYTES = 24_000_000
 PADDING, INSIDE, LAST = 0, 1, 2
 
 
-def _schema(length: int, docs: bytes | None = None) -> pa.Schema:
-    fields = [pa.field("ids", pa.list_(pa.uint32(), length)), pa.field("mask", pa.list_(pa.uint8(), length))]
-    return pa.schema(fields, metadata={b"doc_ids": docs} if docs is not None else None)
+def _schema(length: int, kind: type, docs: bytes) -> pa.Schema:
+    """Ids, and two bits for each: whether it is real (not padding), and whether it ends a document."""
+    lists = {"ids": pa.from_numpy_dtype(kind), "real": pa.bool_(), "last": pa.bool_()}
+    return pa.schema([pa.field(c, pa.list_(t, length)) for c, t in lists.items()], metadata={b"doc_ids": docs})
+
+
+def id_type(size: int) -> type:
+    """Two bytes an id where all ids below ``size`` fit, else four."""
+    return np.uint16 if size <= 1 << 16 else np.uint32
 
 
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
@@ -36,31 +42,36 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
-def write_file(folder: str, name: str, ids: np.ndarray, ends: np.ndarray, doc_ids: list[int | None], length: int) -> None:
-    """One file: ``ids`` in rows of ``length``, the last row padded with 0.
+def write_file(
+    folder: str, name: str, ids: np.ndarray, ends: np.ndarray, doc_ids: list[int | None], length: int, kind: type = np.uint32
+) -> None:
+    """One file: ``ids`` in rows of ``length`` as numbers of type ``kind``, the last row padded with 0.
 
     ``ends`` are the places of the documents' last ids. The keys of the documents
     that end here are in the schema's metadata, in order.
     """
     n_rows = -(-len(ids) // length)
-    padded = np.zeros(n_rows * length, np.uint32)
+    padded = np.zeros(n_rows * length, kind)
     padded[: len(ids)] = ids
-    mask = np.zeros(n_rows * length, np.uint8)
-    mask[: len(ids)] = INSIDE
-    mask[ends] = LAST
+    real, last = np.zeros(n_rows * length, bool), np.zeros(n_rows * length, bool)
+    real[: len(ids)], last[ends] = True, True
     keys = b"".join(struct.pack("<?q", k is not None, k or 0) for k in doc_ids)
-    schema = _schema(length, keys)
+    schema = _schema(length, kind, keys)
     system, path = open_folder(folder)
     with system.open_output_stream(f"{path}/{name}") as sink, pa.ipc.new_file(sink, schema) as writer:
         for first in range(0, n_rows, _BATCH_ROWS):
             part = slice(first * length, (first + _BATCH_ROWS) * length)
-            columns = [
-                pa.FixedSizeListArray.from_arrays(pa.array(padded[part]), length),
-                pa.FixedSizeListArray.from_arrays(pa.array(mask[part]), length),
-            ]
+            columns = [pa.FixedSizeListArray.from_arrays(pa.array(v[part]), length) for v in (padded, real, last)]
             writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=schema))
 
 
+def _read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, mask) of a batch as flat arrays: ids are a view, the mask is made from its bits."""
+    ids, real, last = (batch.column(c).flatten() for c in range(3))
+    bits = [v.to_numpy(zero_copy_only=False).view(np.uint8) for v in (real, last)]
+    return ids.to_numpy(zero_copy_only=True), bits[0] + bits[1]
+
+
 class TokenFile:
     """A file opened for random access: on a local disk rows are views of the mapped file."""
 
@@ -75,16 +86,11 @@ class TokenFile:
     def batches(self):
         """(ids, mask) as flat arrays, a record batch at a time."""
         for i in range(self.reader.num_record_batches):
-            batch = self.reader.get_batch(i)
-            yield tuple(batch.column(c).flatten().to_numpy(zero_copy_only=True) for c in (0, 1))
+            yield _read(self.reader.get_batch(i))
 
     def sequence(self, row: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, mask) of one row; all batches but the last have the same number of rows."""
-        batch = self.reader.get_batch(row // _BATCH_ROWS)
-        row %= _BATCH_ROWS
-        return tuple(
-            batch.column(c).slice(row, 1).flatten().to_numpy(zero_copy_only=True) for c in (0, 1)
-        )
+        return _read(self.reader.get_batch(row // _BATCH_ROWS).slice(row % _BATCH_ROWS, 1))
 
 
 def write_token_files(
@@ -119,6 +125,7 @@ def write_token_files(
         from pyspark import TaskContext
 
         task, own = TaskContext.get().partitionId(), encoder(tokenizer)
+        kind = id_type(1 + max(end_id, *own.tokenizer.get_vocab(with_added_tokens=True).values()))
         ids: list[np.ndarray] = []
         ends: list[int] = []
         keys: list[int | None] = []
@@ -130,7 +137,7 @@ def write_token_files(
             flat = np.concatenate(ids)
             inside = [e for e in ends if e < n]
             name = f"{task:06d}-{part:05d}-{uuid.uuid4().hex}.arrow"
-            write_file(folder, name, flat[:n], np.array(inside, np.int64), keys[: len(inside)], length)
+            write_file(folder, name, flat[:n], np.array(inside, np.int64), keys[: len(inside)], length, kind)
             row = [[task], [part], [name], [n], [len(inside)]]
             ids, ends, keys = [flat[n:]], [e - n for e in ends[len(inside) :]], keys[len(inside) :]
             held, part = held - n, part + 1
@@ -178,12 +185,12 @@ def read_documents(files: DataFrame, folder: str) -> DataFrame:
                         first = 0
                         for end in np.flatnonzero(mask == LAST) + 1:
                             piece = ids[first:end]
-                            size, crc = size + len(piece), zlib.crc32(piece.tobytes(), crc)
+                            size, crc = size + len(piece), zlib.crc32(piece.astype("<u4").tobytes(), crc)
                             for column, v in zip(out, (next(keys), start, size, crc)):
                                 column.append(v)
                             start, size, crc, first = start + size, 0, 0, int(end)
                         rest = ids[first:][mask[first:] == INSIDE]
-                        size, crc = size + len(rest), zlib.crc32(rest.tobytes(), crc)
+                        size, crc = size + len(rest), zlib.crc32(rest.astype("<u4").tobytes(), crc)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(v, pa.int64()) for v in out], ["doc_id", "start", "n_tokens", "ids_crc32"]
                     )
