@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playbill.session import scratch_path
@@ -86,10 +86,12 @@ def linked_groups(
     ``refine`` may give longer sketches (id, more), tested by ``closer`` inside
     the join, so that pairs just below the threshold are not written out.
     """
-    rows = buckets.repartition("bucket")
-    many = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stored(rows.join(many, "bucket").select("bucket", "id", "n"), "shared")
-    score = shared.groupBy("id").agg(F.sum("n").alias("score"))
+    # Sorted by bucket, an id is not alone if a neighbour has the same bucket.
+    order = Window.partitionBy("bucket").orderBy("id")
+    beside = buckets.select("bucket", "id", F.lag("id").over(order).alias("before"), F.lead("id").over(order).alias("after"))
+    shared = stored(beside.where("before is not null or after is not null").select("bucket", "id"), "shared")
+    many = shared.groupBy("bucket").agg(F.count("*").alias("n"))
+    score = shared.join(many, "bucket").groupBy("id").agg(F.sum("n").alias("score"))
     inner = stored(score.join(sketches, "id"), "scores")
     rows = stored(shared.join(inner.select("id", "score"), "id").select("bucket", "id", "score"), "rows")
     hub = rows.groupBy("bucket").agg(F.max(F.struct("score", "id")).alias("hub"))
