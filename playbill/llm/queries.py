@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playbill.llm import decontaminate, language, licenses, line_dedup, near_dup, packing, private_data, quality, repetition, token_files
+from playbill.llm import centroids, decontaminate, language, licenses, line_dedup, near_dup, packing, private_data, quality, repetition, token_files
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -107,6 +107,52 @@ def op10_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_rotated_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    rows, centres = centroids.cluster_vectors(_table(spark, folder, "embeddings"))
+    described = centres.select(
+        "cluster",
+        F.col("inertia").cast("long").alias("cluster_inertia"),
+        F.sha2(F.concat_ws(",", F.col("centroid").cast("array<string>")), 256).alias("centroid_sha256"),
+    )
+    total = centres.agg(F.sum("inertia").cast("long").alias("inertia"))
+    return rows.join(F.broadcast(described), "cluster").join(F.broadcast(total)).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+def _op11_sql(k: int = centroids.CLUSTERS, rounds: int = centroids.ROUNDS, dims: int = centroids.DIMS) -> str:
+    """Ten rounds, a common table each; centroids are rows of (cluster, list)."""
+    parts = [
+        f"""x AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: CAST(floor({centroids.SCALE} * CAST(e AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(CAST(e AS DOUBLE)))) = {dims}
+)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+  FROM (SELECT sha256('{centroids.SEED}:' || vec_id) AS h, v FROM x ORDER BY h NULLS LAST, v LIMIT {k})
+)""",
+    ]
+    apart = "list_sum(list_transform(list_zip(x.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(x.v) AS v, arg_min(struct_pack(c := c.c, d := {apart}), {apart} * {k} + c.c) AS n
+  FROM x CROSS JOIN c{i} AS c GROUP BY r
+)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(any_value(m.v), any_value(o.v)) AS v FROM c{i} AS o LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+      SELECT n.c AS c, i, sum(v[i])::HUGEINT AS s, count(*) AS n FROM a{i}, range(1, {dims + 1}) AS t(i) GROUP BY n.c, i
+    ) GROUP BY c
+  ) AS m USING (c) GROUP BY c
+)""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(a.n.c AS INTEGER) AS cluster, CAST(a.n.d AS BIGINT) AS distance,
+  CAST(sum(a.n.d) OVER (PARTITION BY a.n.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.n.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} AS a JOIN c{rounds} AS c ON a.n.c = c.c"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -120,6 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_positional_index,
         op9_language_ppm,
         op10_fuzzy_lines,
+        op11_rotated_centroids,
     )
 }
-SQL: dict[str, str] = {"op8_positional_index": OP8_SQL}
+SQL: dict[str, str] = {"op8_positional_index": OP8_SQL, "op11_rotated_centroids": _op11_sql()}
