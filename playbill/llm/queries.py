@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playbill.llm import centroids, decontaminate, language, licenses, line_dedup, near_dup, packing, private_data, quality, repetition, token_files
+from playbill.llm import centroids, decontaminate, divergence, language, licenses, line_dedup, near_dup, packing, private_data, quality, repetition, token_files
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -153,6 +153,44 @@ SELECT vec_id, CAST(a.n.c AS INTEGER) AS cluster, CAST(a.n.d AS BIGINT) AS dista
 FROM a{rounds} AS a JOIN c{rounds} AS c ON a.n.c = c.c"""
 
 
+def op12_divergence_cube(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_table(spark, folder, "documents"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), t AS (
+  SELECT lang, source, r, t, count(*) AS n FROM (SELECT lang, source, r, unnest(w) AS t FROM d) GROUP BY ALL
+), kept AS (
+  SELECT lang, t, sum(n) AS n FROM t GROUP BY lang, t HAVING count(*) >= 30
+), langs AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+gc AS (SELECT lang, source, t, sum(t.n) AS n FROM t SEMI JOIN kept USING (lang, t) GROUP BY ALL),
+gn AS (SELECT lang, source, coalesce(sum(gc.n), 0) AS n FROM g LEFT JOIN gc USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT lang, source, t, coalesce(gc.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(gc.n, 0) + 5)) // (gn.n + 5 * langs.v) AS p,
+    1 + (1000000000::HUGEINT * (kept.n + 5)) // (langs.n + 5 * langs.v) AS q
+  FROM gn JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN gc USING (lang, source, t)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL
+), out AS (
+  SELECT lang, source, 'pair' AS part, item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM pairs LEFT JOIN sums USING (lang, source, item)
+  UNION ALL SELECT lang, source, 'term', t, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM out
+) WHERE part = 'pair' OR rank <= 50
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -167,6 +205,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language_ppm,
         op10_fuzzy_lines,
         op11_rotated_centroids,
+        op12_divergence_cube,
     )
 }
-SQL: dict[str, str] = {"op8_positional_index": OP8_SQL, "op11_rotated_centroids": _op11_sql()}
+SQL: dict[str, str] = {"op8_positional_index": OP8_SQL, "op11_rotated_centroids": _op11_sql(), "op12_divergence_cube": OP12_SQL}
