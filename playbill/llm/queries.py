@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playbill.llm import centroids, decontaminate, divergence, language, licenses, line_dedup, near_dup, packing, private_data, quality, repetition, token_files
+from playbill.llm import centroids, decontaminate, divergence, language, licenses, line_dedup, near_dup, packing, private_data, quality, repeats, repetition, token_files
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -191,6 +191,32 @@ SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM (
 """
 
 
+def op13_fm_index(spark: SparkSession, folder: str) -> DataFrame:
+    out = repeats.remove_repeats(_table(spark, folder, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), win AS (
+  SELECT r, doc_id, s, md5(array_to_string(w[s : s + 49], ' ')) AS g
+  FROM (SELECT r, doc_id, w, unnest(generate_series(1, len(w) - 49)) AS s FROM d WHERE len(w) >= 50)
+), low AS (SELECT g, min(doc_id) AS m FROM win GROUP BY g),
+gone AS (
+  SELECT r, list(DISTINCT p) AS gone FROM (
+    SELECT r, unnest(generate_series(s, s + 49)) AS p FROM win JOIN low USING (g) WHERE m < doc_id
+  ) GROUP BY r
+), judged AS (
+  SELECT doc_id, w, coalesce(gone, []) AS gone,
+    list_filter(list_transform(w, lambda x, i: CASE WHEN list_contains(coalesce(gone, []), i) THEN NULL ELSE x END), lambda x: x IS NOT NULL) AS kept
+  FROM d LEFT JOIN gone USING (r)
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256
+FROM judged
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -206,6 +232,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_fuzzy_lines,
         op11_rotated_centroids,
         op12_divergence_cube,
+        op13_fm_index,
     )
 }
-SQL: dict[str, str] = {"op8_positional_index": OP8_SQL, "op11_rotated_centroids": _op11_sql(), "op12_divergence_cube": OP12_SQL}
+SQL: dict[str, str] = {"op8_positional_index": OP8_SQL, "op11_rotated_centroids": _op11_sql(), "op12_divergence_cube": OP12_SQL, "op13_fm_index": OP13_SQL}
