@@ -43,7 +43,9 @@ class _Powers:
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             size = max(n, 1 << 18)
-            self.up, self.down = (np.concatenate(([1], np.full(size, x, np.uint64))).astype(np.uint64).cumprod() for x in (int(_STEP), pow(int(_STEP), -1, 1 << 64)))
+            self.up, self.down = (np.full(size + 1, x, np.uint64) for x in (int(_STEP), pow(int(_STEP), -1, 1 << 64)))
+            self.up[0] = self.down[0] = 1
+            self.up, self.down = self.up.cumprod(), self.down.cumprod()
         return self.up[:n], self.down[:n]
 
 

@@ -106,5 +106,14 @@ def test_given_documents(spark):
     assert sorted(tuple(r) for r in got.collect()) == wanted
 
 
+def test_grams_follow_their_words_alone():
+    rng = np.random.default_rng(2)
+    words = rng.integers(0, 1 << 63, 5000).astype(np.uint64)
+    words[3000:3100] = words[100:200]
+    grams = repeats._grams(words, repeats._Powers())
+    assert (grams[3000:3081] == grams[100:181]).all()
+    assert len(np.unique(grams)) == len(grams) - 81
+
+
 def test_empty_table(spark):
     assert repeats.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
