@@ -9,23 +9,49 @@ from multiprocessing.pool import ThreadPool
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from playbill.session import workers_find_package
+
 PARALLEL_FITS = 4
+# Rows of a partition of a fit, and the least number of partitions.
+ROWS_PER_PARTITION, LEAST_PARTITIONS = 20_000, 8
+
+
+def in_order(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """The same rows in a layout that follows from the rows alone.
+
+    Rows are dealt by a hash of the key to a number of partitions that depends on
+    their count, and sorted there by all columns, so bagging, seeding and quantile
+    samples of a learner come out the same however the rows lay before.
+    """
+    if partitions is None:
+        partitions = max(LEAST_PARTITIONS, -(-df.count() // ROWS_PER_PARTITION))
+    return df.repartition(partitions, key).sortWithinPartitions(key, *(c for c in df.columns if c != key))
 
 
 @contextmanager
-def held(df: DataFrame, partitions: int | None = None) -> Iterator[DataFrame]:
-    """Persist raw columns while a block runs, spread over ``partitions`` if the caller says so.
+def held(df: DataFrame, key: str, partitions: int | None = None) -> Iterator[DataFrame]:
+    """Persist raw columns, laid out by :func:`in_order`, while a block runs.
 
-    Fits make many passes. Vectors built on top stay uncached: the learners keep
-    their own unpacked copy, which is cheaper to iterate over than a cached vector
-    column. Seeding and bagging of some learners follow the partitions of their
-    rows, so a fitted model is the same only for the same layout.
+    Fits make many passes. Lost blocks are worked out again in the same order.
     """
-    kept = (df.repartition(partitions) if partitions else df).persist(StorageLevel.MEMORY_AND_DISK)
+    with kept(in_order(df, key, partitions)) as rows:
+        yield rows
+
+
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """Persist a table while a block runs (memory, then disk)."""
+    rows = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield kept
+        yield rows
     finally:
-        kept.unpersist()
+        rows.unpersist()
+
+
+def map_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with a function of this package."""
+    workers_find_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)
 
 
 def fit_each(spark: SparkSession, fit: Callable, items: Iterable, parallelism: int = PARALLEL_FITS) -> list:

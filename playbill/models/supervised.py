@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import ExitStack, contextmanager
+from itertools import product
+from typing import NamedTuple
 
 from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import FeatureHasher, StringIndexer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playbill.functions.text import NO_DATA
-from playbill.models.features import feature_pipeline, feature_stages, split
-from playbill.models.fits import PARALLEL_FITS, fit_each, held
+from playbill.models.features import feature_stages, split
+from playbill.models.fits import PARALLEL_FITS, fit_each, held, kept
 from playbill.models.metrics import class_metrics, reg_metrics
 from playbill.operators.profile import distinct_count
 from playbill.operators.ranking import mark_best
@@ -56,39 +57,70 @@ def _two_classes(df: DataFrame, label: str) -> None:
         raise ValueError(f"boosted trees separate exactly two values of {label}")
 
 
-def fit_classifier(
-    train: DataFrame, kind: str, cat: Sequence[str], num: Sequence[str], label: str = "type", seed: int = 42, **params
-) -> PipelineModel:
-    """Features and classifier fitted together on training rows."""
-    with held(train.select(label, *cat, *num)) as rows:
-        return _fit_classifier(rows, kind, cat, num, label, seed, **params)
+@contextmanager
+def encoded(train: DataFrame, stages: Sequence, keep: Sequence[str] = ()) -> Iterator[tuple[PipelineModel, DataFrame]]:
+    """Feature stages fitted on ``train``, and its rows as vectors, worked out once for all fits in the block."""
+    model = Pipeline(stages=list(stages)).fit(train)
+    with kept(model.transform(train).select("label", "features", *keep)) as rows:
+        yield model, rows
+
+
+def _whole(encoder: PipelineModel, fitted: Model) -> PipelineModel:
+    """Feature stages and a learner fitted on their vectors as one model."""
+    return PipelineModel(stages=[*encoder.stages, fitted])
 
 
-def _fit_classifier(rows, kind, cat, num, label, seed=42, **params) -> PipelineModel:
-    if kind == "gbt":
+def fit_classifier(
+    train: DataFrame, kind: str, cat: Sequence[str], num: Sequence[str], label: str = "type", seed: int = 42,
+    key: str = "id", **params,
+) -> PipelineModel:
+    """Features and classifier fitted on training rows; the same model for any layout of the rows."""
+    with held(train.select(key, label, *cat, *num), key) as rows:
+        return fit_classifiers(rows, [kind], cat, num, label, seed, **params)[kind]
+
+
+def fit_classifiers(
+    rows: DataFrame, kinds: Sequence[str], cat: Sequence[str], num: Sequence[str], label: str = "type",
+    seed: int = 42, parallelism: int = PARALLEL_FITS, **params,
+) -> dict[str, PipelineModel]:
+    """One model per kind, all fitted on the same vectors of rows that lie in order."""
+    if "gbt" in kinds:
         _two_classes(rows, label)
         ensure_checkpoint_dir(rows.sparkSession)
-    stages = [*feature_stages(cat, num, label), classifier(kind, seed, **params)]
-    return Pipeline(stages=stages).fit(rows)
+    with encoded(rows, feature_stages(cat, num, label)) as (encoder, vectors):
+
+        def fit(kind: str) -> PipelineModel:
+            return _whole(encoder, classifier(kind, seed, **params).fit(vectors))
+
+        return dict(zip(kinds, fit_each(rows.sparkSession, fit, kinds, parallelism)))
 
 
 def fit_regressor(
-    train: DataFrame, kind: str, cat: Sequence[str], num: Sequence[str], target: str, seed: int = 42, **params
-) -> PipelineModel:
-    """Features and regressor fitted together on the training rows that have a target."""
-    with held(_with_target(train.select(target, *cat, *num), target)) as rows:
-        return _fit_regressor(rows, kind, cat, num, seed, **params)
+    train: DataFrame, kind: str, cat: Sequence[str], num: Sequence[str], target: str, seed: int = 42,
+    key: str = "id", **params,
+) -> PipelineModel:
+    """Features and regressor fitted on the training rows that have a target; the same for any layout."""
+    with held(_with_target(train.select(key, target, *cat, *num), target), key) as rows:
+        return fit_regressors(rows, [kind], cat, num, seed, **params)[kind]
+
+
+def fit_regressors(
+    rows: DataFrame, kinds: Sequence[str], cat: Sequence[str], num: Sequence[str], seed: int = 42,
+    parallelism: int = PARALLEL_FITS, **params,
+) -> dict[str, PipelineModel]:
+    """One model per kind, all fitted on the same vectors of rows that lie in order and have a label."""
+    if "gbt" in kinds:
+        ensure_checkpoint_dir(rows.sparkSession)
+    with encoded(rows, feature_stages(cat, num)) as (encoder, vectors):
 
+        def fit(kind: str) -> PipelineModel:
+            return _whole(encoder, regressor(kind, seed, **params).fit(vectors))
 
-def _with_target(df: DataFrame, target: str) -> DataFrame:
-    return df.filter(F.col(target).isNotNull()).withColumn("label", F.col(target).cast("double"))
+        return dict(zip(kinds, fit_each(rows.sparkSession, fit, kinds, parallelism)))
 
 
-def _fit_regressor(rows, kind, cat, num, seed=42, **params) -> PipelineModel:
-    if kind == "gbt":
-        ensure_checkpoint_dir(rows.sparkSession)
-    stages = [*feature_pipeline(cat, num).getStages(), regressor(kind, seed, **params)]
-    return Pipeline(stages=stages).fit(rows)
+def _with_target(df: DataFrame, target: str) -> DataFrame:
+    return df.filter(F.col(target).isNotNull()).withColumn("label", F.col(target).cast("double"))
 
 
 def score_regressor(model: Model, test: DataFrame, target: str) -> DataFrame:
@@ -96,56 +128,95 @@ def score_regressor(model: Model, test: DataFrame, target: str) -> DataFrame:
     return reg_metrics(model.transform(_with_target(test, target)))
 
 
+# fixed values: depths and boosting rounds to try
+GRID = {"maxDepth": [5, 10, 15], "maxIter": [10, 20]}
+
+
 def tune(
-    train: DataFrame,
-    cat: Sequence[str],
-    num: Sequence[str],
-    label: str = "type",
-    key: str = "id",
-    grid: Mapping[str, Sequence] | None = None,
-    folds: int = 3,
-    seed: int = 42,
-    parallelism: int = PARALLEL_FITS,
-) -> tuple[CrossValidatorModel, DataFrame]:
+    train: DataFrame, cat: Sequence[str], num: Sequence[str], label: str = "type", key: str = "id",
+    grid: Mapping[str, Sequence] | None = None, folds: int = 3, seed: int = 42, parallelism: int = PARALLEL_FITS,
+) -> tuple[PipelineModel, DataFrame]:
     """Boosted trees tuned by cross-validated F1: the model and one row per combination.
 
-    Folds come from a hash of the key, so they do not move with the data layout.
+    Folds come from a hash of the key, so they do not move with the data layout. Each fold
+    is encoded once for the whole grid. Rounds of boosting are nested: the
+    first ten trees of twenty are those of a fit of ten, so each depth is fitted
+    once per fold, with the most rounds, and scored at all of them.
     """
-    with held(train.select(key, label, *cat, *num)) as rows:
+    with held(train.select(key, label, *cat, *num), key) as rows:
         return _tune(rows, cat, num, label, key, grid, folds, seed, parallelism)
 
 
 def _tune(train, cat, num, label, key, grid=None, folds=3, seed=42, parallelism=PARALLEL_FITS):
     _two_classes(train, label)
     ensure_checkpoint_dir(train.sparkSession)
-    # fixed values: depths and rounds to try
-    grid = grid or {"maxDepth": [5, 10, 15], "maxIter": [10, 20]}
-    gbt = GBTClassifier(seed=seed)
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(gbt.getParam(name), list(values))
-    combos = builder.build()
-    search = CrossValidator(
-        estimator=Pipeline(stages=[*feature_stages(cat, num, label), gbt]),
-        estimatorParamMaps=combos,
-        evaluator=MulticlassClassificationEvaluator(metricName="f1"),
-        numFolds=folds,
-        foldCol="__fold",
-        parallelism=parallelism,
-    )
+    grid = dict(grid or GRID)
+    rounds = [int(n) for n in grid.get("maxIter", [20])]
+    others = [name for name in grid if name != "maxIter"]
+    fits = [dict(zip(others, values)) for values in product(*(grid[n] for n in others))]
+    stages = feature_stages(cat, num, label)
     fold = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(folds)).cast("int")
-    model = search.fit(train.withColumn("__fold", fold))
-    best = model.bestModel.stages[-1]
-    chosen = {name: best.getOrDefault(name) for name in grid}
-    names = list(grid)
-    rows = [
-        (*[int(combo[gbt.getParam(n)]) for n in names], float(f1), {n: combo[gbt.getParam(n)] for n in names} == chosen)
-        for combo, f1 in zip(combos, model.avgMetrics)
-    ]
+    # The longest fits go first, so that none is left to run alone.
+    tasks = sorted(product(range(folds), fits), key=lambda task: -task[1].get("maxDepth", 5))
+    with ExitStack() as held_folds:
+        sides = []
+        for f in range(folds):
+            encoder, vectors = held_folds.enter_context(encoded(train.filter(fold != f), stages))
+            test = encoder.transform(train.filter(fold == f)).select("label", "features")
+            sides.append((vectors, held_folds.enter_context(kept(test))))
+
+        def score(task: tuple[int, dict]) -> list[float]:
+            vectors, test = sides[task[0]]
+            return f1_by_rounds(GBTClassifier(seed=seed, maxIter=max(rounds), **task[1]).fit(vectors), test, rounds)
+
+        found = fit_each(train.sparkSession, score, tasks, parallelism)
+    scores: dict[tuple, list[float]] = {}
+    for (_, params), values in sorted(zip(tasks, found), key=lambda x: x[0][0]):
+        for n, f1 in zip(rounds, values):
+            scores.setdefault((*params.values(), n), []).append(f1)
+    names = [*others, "maxIter"]
+    means = {combo: sum(values) / folds for combo, values in scores.items()}
+    ordered = sorted(means, key=lambda combo: [list(grid.get(n, rounds)).index(v) for n, v in zip(names, combo)])
+    best = max(ordered, key=lambda combo: means[combo])
+    with encoded(train, stages) as (encoder, vectors):
+        model = _whole(encoder, GBTClassifier(seed=seed, **dict(zip(names, best))).fit(vectors))
     schema = ", ".join([f"{n} int" for n in names] + ["avg_f1 double", "is_best boolean"])
+    rows = [(*(int(v) for v in combo), means[combo], combo == best) for combo in ordered]
     return model, train.sparkSession.createDataFrame(rows, schema)
 
 
+def f1_by_rounds(model: GBTClassificationModel, test: DataFrame, rounds: Sequence[int]) -> list[float]:
+    """Weighted F1 on ``test`` of the first trees of a boosted model, for several numbers of trees, in one pass."""
+    shown, margin = test, F.lit(0.0)
+    columns = {}
+    for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights), 1):
+        name = f"__tree{i}"
+        shown = tree.copy().setPredictionCol(name).transform(shown)
+        margin = margin + F.lit(float(weight)) * F.col(name)
+        if i in rounds:
+            columns[i] = margin
+    marked = shown.select("label", *[F.when(m > 0, 1.0).otherwise(0.0).alias(f"p{n}") for n, m in columns.items()])
+    cells = marked.groupBy("label", *[f"p{n}" for n in columns]).count().collect()
+    found = []
+    for n in rounds:
+        counts: dict[tuple[float, float], int] = {}
+        for r in cells:
+            at = r["label"], r[f"p{n}"]
+            counts[at] = counts.get(at, 0) + r["count"]
+        found.append(_weighted_f1(counts))
+    return found
+
+
+def _weighted_f1(cells: Mapping[tuple[float, float], int]) -> float:
+    """F1 of each class weighted by its size, from counts of (label, prediction)."""
+    total, out = sum(cells.values()), 0.0
+    for c in {y for y, _ in cells}:
+        actual = sum(n for (y, _), n in cells.items() if y == c)
+        predicted = sum(n for (_, p), n in cells.items() if p == c)
+        out += 2 * cells.get((c, c), 0) / (actual + predicted) * actual / total
+    return out
+
+
 def score_table(model: Model, df: DataFrame, keep: Sequence[str] = ("id", "title", "type")) -> DataFrame:
     """Rows with their label and prediction."""
     return model.transform(df).select(*keep, "label", "prediction")
@@ -192,7 +263,7 @@ def feature_accuracy(
     Values are hashed into ``buckets`` slots, the same for every column, so free
     text is scored like a category and no list of values is kept.
     """
-    with held(df.select(key, label, *[F.col(c).cast("string").alias(c) for c in cols])) as rows:
+    with held(df.select(key, label, *[F.col(c).cast("string").alias(c) for c in cols]), key) as rows:
         counts = {r["column"]: r["n_distinct"] for r in distinct_count(rows, cols).collect()}
         train, test = split(rows, key, 0.7, seed)
 
@@ -255,52 +326,73 @@ def majority_accuracy(
     return values.groupBy("feature").agg((F.sum(hits) / F.sum("n_test")).alias("accuracy"))
 
 
-def compare_classifiers(
-    df: DataFrame,
-    cat: Sequence[str],
-    num: Sequence[str],
-    label: str = "type",
-    key: str = "id",
-    kinds: Sequence[str] = ("rf", "lr", "gbt"),
-    grid: Mapping[str, Sequence] | None = None,
-    tuned: bool = True,
-    parallelism: int = PARALLEL_FITS,
-) -> DataFrame:
-    """One row per classifier, the tuned boosted trees among them: accuracy and F1 on test rows."""
-    with held(fill_features(df, cat, num).select(key, label, *cat, *num)) as rows:
-        train, test = split(rows, key)
-
-        def score(kind: str) -> tuple[str, float, float]:
-            if kind == "tuned":
-                model, _ = _tune(train, cat, num, label, key, grid, parallelism=parallelism)
-            else:
-                model = _fit_classifier(train, kind, cat, num, label)
-            name = f"{MODEL_NAMES['gbt']} (tuned)" if kind == "tuned" else MODEL_NAMES[kind]
-            return name, *class_metrics(model.transform(test)).first()
-
-        results = fit_each(df.sparkSession, score, kinds, parallelism)
+class FittedClassifiers(NamedTuple):
+    """Models by kind (``tuned`` among them), the scores of the grid, and the test rows."""
+
+    models: dict[str, PipelineModel]
+    grid: DataFrame | None
+    test: DataFrame
+
+    def table(self) -> DataFrame:
+        """One row per model: accuracy and F1 on test rows."""
+        with kept(self.test) as test:
+            results = [(_shown(kind), *class_metrics(m.transform(test)).first()) for kind, m in self.models.items()]
+        return self.test.sparkSession.createDataFrame(results, "model string, accuracy double, f1 double")
+
+
+def _shown(kind: str) -> str:
+    return f"{MODEL_NAMES['gbt']} (tuned)" if kind == "tuned" else MODEL_NAMES[kind]
+
+
+def train_classifiers(
+    df: DataFrame, cat: Sequence[str], num: Sequence[str], label: str = "type", key: str = "id",
+    kinds: Sequence[str] = ("rf", "lr", "gbt"), grid: Mapping[str, Sequence] | None = None, tuned: bool = True,
+    parallelism: int = PARALLEL_FITS, keep: Sequence[str] = (),
+) -> FittedClassifiers:
+    """All classifiers fitted on the training side of ``df``, each once; ``keep`` columns stay with the test rows."""
+    filled = fill_features(df, cat, num)
+    test = split(filled.select(*dict.fromkeys([key, label, *keep, *cat, *num])), key)[1]
+    with held(filled.select(key, label, *cat, *num), key) as rows:
+        train = split(rows, key)[0]
+        models = fit_classifiers(train, kinds, cat, num, label, parallelism=parallelism)
+        table = None
         if tuned:
-            results.append(score("tuned"))
-    return df.sparkSession.createDataFrame(results, "model string, accuracy double, f1 double")
+            models["tuned"], table = _tune(train, cat, num, label, key, grid, parallelism=parallelism)
+    return FittedClassifiers(models, table, test)
 
 
-def compare_regressors(
-    df: DataFrame,
-    cat: Sequence[str],
-    num: Sequence[str],
-    target: str,
-    key: str = "id",
-    kinds: Sequence[str] = ("lr", "rf", "gbt"),
-    parallelism: int = PARALLEL_FITS,
-) -> DataFrame:
-    """One row per regressor: RMSE and R2 on test rows."""
-    known = _with_target(df, target)
-    with held(fill_features(known, cat, num).select(key, target, "label", *cat, *num)) as rows:
-        train, test = split(rows, key)
+def compare_classifiers(df: DataFrame, cat: Sequence[str], num: Sequence[str], *args, **kw) -> DataFrame:
+    """One row per classifier, the tuned boosted trees among them; arguments as for :func:`train_classifiers`."""
+    return train_classifiers(df, cat, num, *args, **kw).table()
+
+
+class FittedRegressors(NamedTuple):
+    """Models by kind, the training and the test rows that have a target."""
+
+    models: dict[str, PipelineModel]
+    train: DataFrame
+    test: DataFrame
+
+    def table(self) -> DataFrame:
+        """One row per model: RMSE and R2 on test rows."""
+        with kept(self.test) as test:
+            scores = [(kind, reg_metrics(m.transform(test)).first()) for kind, m in self.models.items()]
+        results = [(REGRESSOR_NAMES[kind], r["rmse"], r["r2"]) for kind, r in scores]
+        return self.test.sparkSession.createDataFrame(results, "model string, rmse double, r2 double")
+
+
+def train_regressors(
+    df: DataFrame, cat: Sequence[str], num: Sequence[str], target: str, key: str = "id",
+    kinds: Sequence[str] = ("lr", "rf", "gbt"), parallelism: int = PARALLEL_FITS,
+) -> FittedRegressors:
+    """All regressors fitted on the training side of the rows with a target, each once."""
+    known = fill_features(_with_target(df, target), cat, num).select(key, "label", *cat, *num)
+    train, test = split(known, key)
+    with held(train, key) as rows:
+        models = fit_regressors(rows, kinds, cat, num, parallelism=parallelism)
+    return FittedRegressors(models, train, test)
 
-        def score(kind: str) -> tuple[str, float, float]:
-            scores = reg_metrics(_fit_regressor(train, kind, cat, num).transform(test)).first()
-            return REGRESSOR_NAMES[kind], scores["rmse"], scores["r2"]
 
-        results = fit_each(df.sparkSession, score, kinds, parallelism)
-    return df.sparkSession.createDataFrame(results, "model string, rmse double, r2 double")
+def compare_regressors(df: DataFrame, cat: Sequence[str], num: Sequence[str], target: str, *args, **kw) -> DataFrame:
+    """One row per regressor; arguments as for :func:`train_regressors`."""
+    return train_regressors(df, cat, num, target, *args, **kw).table()

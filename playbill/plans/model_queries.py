@@ -19,7 +19,6 @@ from playbill.plans.views import Tables
 CATEGORIES = ["main_genre", "rating"]
 NUMBERS = ["score", "second_score", "popularity", "runtime", "actor_count", "release_year"]
 REG_NUMBERS = ["runtime", "release_year", "popularity", "actor_count", "second_score"]
-SMALL_GRID = {"maxDepth": [3, 5], "maxIter": [5, 10]}
 
 
 def _filled(t: Tables) -> DataFrame:
@@ -183,7 +182,7 @@ register("m10_logistic", _classifier("lr"))
 register("m11_boosted_classifier", _classifier("gbt"))
 register(
     "m12_cross_validate",
-    lambda t: rounded(supervised.tune(_sides(t)[0], CATEGORIES, NUMBERS, grid=SMALL_GRID)[1], "avg_f1"),
+    lambda t: rounded(supervised.tune(_sides(t)[0], CATEGORIES, NUMBERS)[1], "avg_f1"),
 )
 
 
@@ -372,26 +371,155 @@ register(
 )
 
 
+def _model_rows(classifiers: DataFrame, regressors: DataFrame, digits: int = 6) -> DataFrame:
+    """(model, metric, value) of two comparison tables."""
+    parts = [df.select("model", F.lit(m).alias("metric"), F.col(m).alias("value")) for df, ms in ((classifiers, ("accuracy", "f1")), (regressors, ("rmse", "r2"))) for m in ms]
+    return rounded(stack(parts), "value", digits=digits)
+
+
 def _model_table(t: Tables) -> DataFrame:
-    scored = supervised.compare_classifiers(t.model_titles, CATEGORIES, NUMBERS, grid=SMALL_GRID)
-    fitted = supervised.compare_regressors(t.model_titles, CATEGORIES, REG_NUMBERS, "score")
-    names = [
-        scored.select("model", F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")),
-        scored.select("model", F.lit("f1").alias("metric"), F.col("f1").alias("value")),
-        fitted.select("model", F.lit("rmse").alias("metric"), F.col("rmse").alias("value")),
-        fitted.select("model", F.lit("r2").alias("metric"), F.col("r2").alias("value")),
-    ]
-    return rounded(stack(names), "value")
+    scored = supervised.compare_classifiers(t.model_titles, CATEGORIES, NUMBERS)
+    return _model_rows(scored, supervised.compare_regressors(t.model_titles, CATEGORIES, REG_NUMBERS, "score"))
 
 
 register("m24_model_table", _model_table)
 
 
-def _model_report(t: Tables) -> DataFrame:
-    tables = reports.model_report(
-        t.model_titles, CATEGORIES, REG_NUMBERS, "score", ks=range(2, 8), grid={"maxDepth": [3], "maxIter": [5, 10]}
-    )
-    return stack([df.agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(n)) for n, df in tables.items()])
+def _report_rows(tables: dict[str, DataFrame], names: dict[str, tuple[list[str], list[str]]], digits: int = 6) -> DataFrame:
+    """(table, item, metric, value): a row for each number of each table; ``names`` lists its key and value columns."""
+    parts = []
+    for name, (keys, values) in names.items():
+        item = F.concat_ws(" ", *[F.coalesce(F.col(k).cast("string"), F.lit("(null)")) for k in keys])
+        cells = F.inline(F.array(*[F.struct(F.lit(v).alias("metric"), F.col(v).cast("double").alias("value")) for v in values]))
+        parts.append(tables[name].select(F.lit(name).alias("table"), item.alias("item"), cells))
+    return rounded(stack(parts), "value", digits=digits)
+
+
+REPORT_PARTS = {
+    "k_sweep": (["k"], ["silhouette", "is_best"]),
+    "clusters": (["id"], ["prediction"]),
+    "cluster_profile": (["prediction"], ["size", *(f"avg_{c}" for c in ["score", *REG_NUMBERS])]),
+    "classifiers": (["model"], ["accuracy", "f1"]),
+    "grid": (["maxDepth", "maxIter"], ["avg_f1", "is_best"]),
+    "predictions": (["id"], ["label", "prediction"]),
+    "regressors": (["model"], ["rmse", "r2"]),
+    "coefficients": (["feature"], ["weight"]),
+    "forest_importance": (["feature"], ["importance"]),
+    "boosted_importance": (["feature"], ["importance"]),
+}
+register(
+    "r06_model_report",
+    lambda t: _report_rows(reports.model_report(t.model_titles, CATEGORIES, REG_NUMBERS, "score"), REPORT_PARTS),
+)
+
+# -- the same over orders whose outcome is known ---------------------------------
+
+
+def _known(t: Tables) -> DataFrame:
+    """Orders whose type and score follow from a part, one of three."""
+    part = F.col("o_custkey") % 3
+    return t["orders"].select(
+        F.col("o_orderkey").alias("id"), F.concat(F.lit("T"), F.col("o_orderkey").cast("string")).alias("title"),
+        F.concat(F.lit("p"), part.cast("string")).alias("part"), F.when(part == 0, "low").otherwise("high").alias("type"),
+        (1000.0 * part).alias("score"), (F.col("o_custkey") % 10).cast("double").alias("a"),
+        (F.col("o_orderkey") % 7).cast("double").alias("b"),
+        F.when(F.col("o_custkey") % 10 >= 5, 40.0).otherwise(10.0).alias("step"),
+    )
+
+
+GRID_SQL = "unnest([5, 5, 10, 10, 15, 15]) AS d, unnest([10, 20, 10, 20, 10, 20]) AS r"
+register(
+    "m12_cross_validate_sure",
+    lambda t: rounded(supervised.tune(_marked(t), [], ["a", "b"])[1], "avg_f1"),
+    f"""SELECT CAST(d AS INT) AS "maxDepth", CAST(r AS INT) AS "maxIter", (SELECT count(*) / count(*) FROM orders) AS avg_f1,
+    d = 5 AND r = 10 AS is_best FROM (SELECT {GRID_SQL})""",
+)
+
+
+def _sure_predictions(t: Tables) -> DataFrame:
+    train, test = features.split(_known(t), "id", bucket=F.col("id") % 100)
+    return supervised.score_table(supervised.fit_classifier(train, "gbt", ["part"], ["a", "b"]), test)
+
+
+register(
+    "m13_predict_sure",
+    _sure_predictions,
+    """WITH o AS (SELECT o_orderkey AS id, CASE WHEN o_custkey % 3 = 0 THEN 'low' ELSE 'high' END AS type FROM orders),
+    n AS (SELECT type, CAST(row_number() OVER (ORDER BY count(*) DESC, type) - 1 AS DOUBLE) AS label FROM o WHERE id % 100 < 70 GROUP BY 1)
+    SELECT id, 'T' || id AS title, type, label, label AS prediction FROM o JOIN n USING (type) WHERE id % 100 >= 70""",
+)
 
 
-register("r06_model_report", _model_report)
+def _step(kind: str):
+    def run(t: Tables) -> DataFrame:
+        train, test = features.split(_known(t), "id", bucket=F.col("id") % 100)
+        model = supervised.fit_regressor(train, kind, [], ["a"], "step")
+        shown = model.transform(test).select("id", "step", "prediction")
+        return rounded(shown, "prediction")
+
+    return run
+
+
+STEP_SQL = """SELECT o_orderkey AS id, CASE WHEN o_custkey % 10 >= 5 THEN 40.0::DOUBLE ELSE 10 END AS step,
+CASE WHEN o_custkey % 10 >= 5 THEN 40.0::DOUBLE ELSE 10 END AS prediction FROM orders WHERE o_orderkey % 100 >= 70"""
+register("m15_forest_regressor_step", _step("rf"), STEP_SQL)
+register("m16_boosted_regressor_step", _step("gbt"), STEP_SQL)
+register("m14_linear_regression_step", lambda t: rounded(supervised.score_regressor(
+    supervised.fit_regressor(_known(t), "lr", ["part"], [], "score"), _known(t), "score"), "rmse", "mse", "r2", digits=3),
+    "SELECT 0.0::DOUBLE AS rmse, 0.0::DOUBLE AS mse, (SELECT count(*) / count(*) FROM orders) AS r2")
+
+
+def _step_importance(t: Tables) -> DataFrame:
+    rows = _known(t)
+    parts = [
+        supervised.importances(supervised.fit_regressor(rows, kind, [], cols, "step"), rows).withColumn("model", F.lit(kind))
+        for kind, cols in (("rf", ["a"]), ("gbt", ["a", "b"]))
+    ]
+    return rounded(stack(parts), "importance")
+
+
+register(
+    "m17_importance_step",
+    _step_importance,
+    "SELECT * FROM (VALUES ('a', 1.0::DOUBLE, 'rf'), ('a', 1.0::DOUBLE, 'gbt'), ('b', 0.0::DOUBLE, 'gbt')) AS w(feature, importance, model)",
+)
+SURE_ROWS = """(VALUES ('Random Forest', 'accuracy', 1.0::DOUBLE), ('Random Forest', 'f1', 1), ('Logistic Regression', 'accuracy', 1),
+('Logistic Regression', 'f1', 1), ('GBT', 'accuracy', 1), ('GBT', 'f1', 1), ('GBT (tuned)', 'accuracy', 1), ('GBT (tuned)', 'f1', 1),
+('Linear Regression', 'rmse', 0), ('Linear Regression', 'r2', 1), ('GBT', 'rmse', 0), ('GBT', 'r2', 1)) AS w(model, metric, value)"""
+register(
+    "m24_model_table_sure",
+    lambda t: _model_rows(
+        supervised.compare_classifiers(_known(t), ["part"], ["a"]),
+        supervised.compare_regressors(_known(t), ["part"], [], "score", kinds=("lr", "gbt")),
+        digits=3,
+    ),
+    f"SELECT * FROM {SURE_ROWS}",
+)
+
+
+def _sure_report(t: Tables) -> DataFrame:
+    tables = reports.model_report(_known(t), ["part"], [], "score", k=3)
+    sizes = tables["cluster_profile"].select(F.col("avg_score").alias("spot"), "size")
+    known = {
+        "k_sweep": tables["k_sweep"].filter("is_best AND k <= 3"),
+        "cluster_profile": sizes,
+        "classifiers": tables["classifiers"],
+        "grid": tables["grid"],
+        "predictions": tables["predictions"].groupBy("type").agg(F.avg((F.col("label") == F.col("prediction")).cast("int")).alias("right")),
+        "regressors": tables["regressors"].filter("model <> 'Random Forest'"),
+    }
+    parts = REPORT_PARTS | {"cluster_profile": (["spot"], ["size"]), "predictions": (["type"], ["right"])}
+    return _report_rows(known, {n: parts[n] for n in known}, digits=3)
+
+
+register(
+    "r06_model_report_sure",
+    _sure_report,
+    f"""WITH s AS (SELECT * FROM {SURE_ROWS}), g AS (SELECT {GRID_SQL}), o AS (SELECT o_custkey % 3 AS part FROM orders)
+    SELECT 'k_sweep' AS "table", '3' AS item, unnest(['silhouette', 'is_best']) AS metric, 1.0::DOUBLE AS value
+    UNION ALL SELECT 'cluster_profile', (1000 * part) || '.0', 'size', count(*) FROM o GROUP BY part
+    UNION ALL SELECT CASE WHEN metric IN ('accuracy', 'f1') THEN 'classifiers' ELSE 'regressors' END, model, metric, value FROM s
+    UNION ALL SELECT 'grid', d || ' ' || r, 'avg_f1', 1 FROM g
+    UNION ALL SELECT 'grid', d || ' ' || r, 'is_best', CASE WHEN d = 5 AND r = 10 THEN 1 ELSE 0 END FROM g
+    UNION ALL SELECT DISTINCT 'predictions', CASE WHEN part = 0 THEN 'low' ELSE 'high' END, 'right', 1 FROM o""",
+)

@@ -10,16 +10,13 @@ from pyspark.sql import functions as F
 
 from playbill.functions.text import NO_DATA
 from playbill.models.clusters import cluster, cluster_profile, k_sweep
-from playbill.models.features import split
 from playbill.models.supervised import (
-    compare_classifiers,
-    compare_regressors,
+    coefficients,
     feature_accuracy,
-    fill_features,
-    fit_classifier,
-    fit_regressor,
     importances,
     score_table,
+    train_classifiers,
+    train_regressors,
 )
 from playbill.operators.aggregates import (
     avg_by,
@@ -196,7 +193,7 @@ def model_report(
     k: int = 6,
     grid: Mapping[str, Sequence] | None = None,
 ) -> dict[str, DataFrame]:
-    """Clusters, classifiers and regressors over one table with a score and features.
+    """Clusters, classifiers and regressors over one table with a score and features; each model is fitted once.
 
     ``num`` are the features besides the score; the score is a feature of the
     clusters and classifiers and the target of the regressors.
@@ -204,20 +201,19 @@ def model_report(
     numbers = [score, *num]
     whole = fill_median(titles, numbers)
     clustered = cluster(whole, numbers, k, keep=("id", "title", label))
-    train, test = split(fill_features(titles, cat, numbers), "id")
-    boosted = fit_classifier(train, "gbt", cat, numbers, label)
-    reg_train, _ = split(fill_features(titles.filter(F.col(score).isNotNull()), cat, num), "id")
-    forest = fit_regressor(reg_train, "rf", cat, num, score)
-    boosted_score = fit_regressor(reg_train, "gbt", cat, num, score)
+    fitted = train_classifiers(titles, cat, numbers, label, grid=grid, keep=["title"])
+    scored = train_regressors(titles, cat, num, score)
     return {
         "k_sweep": k_sweep(whole, numbers, ks),
         "clusters": clustered,
         "cluster_profile": cluster_profile(clustered, numbers),
-        "classifiers": compare_classifiers(titles, cat, numbers, label, grid=grid),
-        "predictions": score_table(boosted, test, ("id", "title", label)),
-        "regressors": compare_regressors(titles, cat, num, score),
-        "forest_importance": importances(forest, reg_train),
-        "boosted_importance": importances(boosted_score, reg_train),
+        "classifiers": fitted.table(),
+        "grid": fitted.grid,
+        "predictions": score_table(fitted.models["gbt"], fitted.test, ("id", "title", label)),
+        "regressors": scored.table(),
+        "coefficients": coefficients(scored.models["lr"], scored.train),
+        "forest_importance": importances(scored.models["rf"], scored.train),
+        "boosted_importance": importances(scored.models["gbt"], scored.train),
     }
 
 

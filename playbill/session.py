@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import re
 import shutil
 import tempfile
@@ -22,6 +23,7 @@ RECOMMENDED_CONF = {
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _local_dir: str | None = None
 
 
@@ -35,6 +37,16 @@ def tuned_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where they share the driver's disk.
+
+    On a cluster the package goes along with ``--py-files`` instead.
+    """
+    env = spark.sparkContext.environment
+    if _ROOT not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(x for x in (_ROOT, env.get("PYTHONPATH")) if x)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named in ``spark.checkpoint.dir``.
 

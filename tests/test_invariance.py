@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from playbill.models import features, supervised
+from playbill.models import clusters, features, supervised
 from playbill.operators import aggregates, clean, distribution, joins, people, ranking
 from playbill.operators.derive import explode_list
 from playbill.plans.views import Tables
@@ -40,3 +40,26 @@ def test_same_rows_in_any_layout(spark, name):
 
     first = rows(1)
     assert first and first == rows(7)
+
+
+MODEL_CASES = {
+    "clusters": lambda t: clusters.cluster(t.na.fill(0), MODEL_NUMBERS, k=4),
+    "sweep": lambda t: clusters.k_sweep(t.na.fill(0), MODEL_NUMBERS, ks=[2, 3, 5]).withColumn("silhouette", F.round("silhouette", 9)),
+    "forest": lambda t: supervised.importances(supervised.fit_classifier(supervised.fill_features(t, ["rating"], MODEL_NUMBERS), "rf", ["rating"], MODEL_NUMBERS), supervised.fill_features(t, ["rating"], MODEL_NUMBERS)),
+    "boosted": lambda t: supervised.score_table(supervised.fit_classifier(t.na.fill(0), "gbt", [], MODEL_NUMBERS, maxIter=3), t.na.fill(0), ["id"]),
+    "swept": lambda t: supervised.feature_accuracy(t, ["rating", "title"], buckets=64),
+    "forest_score": lambda t: supervised.importances(supervised.fit_regressor(t.na.fill(0, ["runtime", "popularity"]), "rf", [], ["runtime", "popularity"], "score"), t.na.fill(0, ["runtime", "popularity"])),
+}
+MODEL_NUMBERS = ["score", "runtime", "popularity", "actor_count"]
+
+
+@pytest.mark.parametrize("name", MODEL_CASES)
+def test_same_fit_in_any_layout(spark, name):
+    titles = Tables(spark, FOLDER).model_titles
+
+    def rows(n):
+        shuffled = titles.orderBy(F.xxhash64(F.lit(n), "id")).repartition(n)
+        return sorted(map(repr, MODEL_CASES[name](shuffled).collect()))
+
+    first = rows(1)
+    assert first and first == rows(7)

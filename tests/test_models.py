@@ -1,7 +1,11 @@
 """Models on planted signals, slot names, splits, refusals."""
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from playbill.models import clusters, features, metrics, supervised
@@ -150,8 +154,42 @@ def test_silhouettes_equal_the_evaluators(spark):
     rows = [(i * 7 % 31 / 31 + 5 * (i % 3), i * 11 % 29 / 29, i % 3, (i % 3) * 2 if i else 5, 0) for i in range(60)]
     df = spark.createDataFrame(rows, "a double, b double, g int, h int, one int").repartition(3)
     df = features.assemble(df, ["a", "b"])
-    got = metrics.silhouettes(df, ["g", "h", "one"])
-    for name in ("g", "h"):
-        assert abs(got[name] - metrics.silhouette_score(df, "features", name)) < 1e-9
-    assert got["one"] is None
-    assert metrics.silhouettes(df.limit(0), ["g"]) == {"g": None}
+    centres = np.array([[0.5, 0.5], [5.5, 0.5], [10.5, 0.5], [99.0, 99.0]])
+    got = metrics.silhouettes(df, ["g", "h", centres, "one"])
+    for name, value in zip("gh", got):
+        assert abs(value - metrics.silhouette_score(df, "features", name)) < 1e-9
+    assert abs(got[2] - got[0]) < 1e-9 and got[3] is None
+    assert metrics.silhouettes(df.limit(0), ["g"]) == [None]
+
+
+def test_rounds_of_kmeans_equal_plain_ones(spark):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(c, 0.6, (80, 2)) for c in ((0, 0), (4, 1), (1, 5), (6, 6))])
+    df = spark.createDataFrame([(i, Vectors.dense(v)) for i, v in enumerate(x.tolist())], ["id", "features"]).repartition(3)
+    ks = [2, 3, 4, 7]
+    found = clusters.fit_centres(df, ks)
+    starts = clusters.fit_centres(df, ks, rounds=0)
+    for k, centres, start in zip(ks, found, starts):
+        for _ in range(clusters.MAX_ROUNDS):
+            own = ((x[:, None] - start) ** 2).sum(2).argmin(1)
+            start = np.array([x[own == c].mean(0) if (own == c).any() else start[c] for c in range(len(start))])
+        assert len(centres) == k and np.allclose(centres, start, atol=1e-3)
+    cost = ((x[:, None] - found[2]) ** 2).sum(2).min(1).sum()
+    library = KMeans(k=4, seed=1).fit(df).summary.trainingCost
+    assert cost <= 1.01 * library
+    same = spark.createDataFrame([(i, Vectors.dense([1.0])) for i in range(9)], ["id", "features"])
+    assert [c.tolist() for c in clusters.fit_centres(same, [1, 3])] == [[[1.0]], [[1.0]]]
+    assert clusters.fit_centres(same.limit(0), [2]) == []
+
+
+def test_first_rounds_are_those_of_a_shorter_fit(planted):
+    rows = planted.withColumn("noisy", F.when(F.xxhash64("id") % 10 < 2, F.lit("SHOW")).otherwise(F.col("type")))
+    train, test = features.split(rows, "id")
+    stages = features.feature_stages(["genre"], ["runtime", "noise"], "noisy")
+    with supervised.encoded(train, stages) as (encoder, vectors):
+        shown = encoder.transform(test).select("label", "features")
+        long = GBTClassifier(seed=42, maxIter=9, maxDepth=4).fit(vectors)
+        found = supervised.f1_by_rounds(long, shown, [2, 5, 9])
+        for n, f1 in zip([2, 5, 9], found):
+            short = GBTClassifier(seed=42, maxIter=n, maxDepth=4).fit(vectors).transform(shown)
+            assert f1 == pytest.approx(metrics.class_metrics(short).first()["f1"], abs=1e-12)
