@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +30,11 @@ def category_split(df: DataFrame, types: Sequence[str], col: str, type_col: str
     The null category counts in the total and is dropped after, so percentages
     may add up to less than 100. One grouped count serves all types.
     """
-    counts = count_by(by_type(df, type_col, list(types)), [type_col, col])
+    return category_shares(count_by(by_type(df, type_col, list(types)), [type_col, col]), types, col, type_col)
+
+
+def category_shares(counts: DataFrame, types: Sequence[str], col: str, type_col: str = "type") -> DataFrame:
+    """The same from counts per type and category."""
     shares = with_group_total(counts, type_col, "count", max_groups=len(types))
     # the null category is dropped by its percent: a filter on the category itself
     # would reach below only one side of the join and undo the shared shuffle
@@ -40,6 +44,26 @@ def category_split(df: DataFrame, types: Sequence[str], col: str, type_col: str
     )
 
 
+def facet_counts(
+    df: DataFrame, single: Mapping[str, Column], lists: Mapping[str, Column], type_col: str = "type"
+) -> DataFrame:
+    """(facet, type, key, count): rows per type and key of many facets, from one pass and one shuffle.
+
+    ``single`` facets give each row one key (null too), ``lists`` one for each
+    member of an array, repeats counted twice. Keys are text.
+    """
+
+    def cell(name: str, key: Column) -> Column:
+        return F.struct(F.lit(name).alias("facet"), key.alias("key")).cast("struct<facet:string,key:string>")
+
+    def cells(name: str, members: Column) -> Column:
+        return F.transform(F.coalesce(members, F.array().cast("array<string>")), lambda m: cell(name, m))
+
+    own = F.array(*[cell(n, c.cast("string")) for n, c in single.items()])
+    members = [cells(n, c) for n, c in lists.items()]
+    return df.select(type_col, F.inline(F.concat(own, *members))).groupBy("facet", type_col, "key").agg(_rows().alias("count"))
+
+
 def trend(df: DataFrame, year_col: str, types: Sequence[str], type_col: str = "type") -> DataFrame:
     """Per type and year: rows and their percentage of all rows of the type, undated ones included."""
     return category_split(df, types, year_col, type_col)
@@ -130,6 +154,17 @@ def type_ratio(
     )
 
 
+def ratio_of_counts(
+    counts: DataFrame, key: str, types: Sequence[str], n: int = 10, type_col: str = "type"
+) -> DataFrame:
+    """:func:`type_ratio` from counts per key and type."""
+    sums = [F.sum(F.when(F.col(type_col) == t, F.col("count")).otherwise(0)).alias(f"__n{i}") for i, t in enumerate(types)]
+    known_keys = counts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum("count").alias("__total"), *sums)
+    top = known_keys.orderBy(F.desc("__total"), key).limit(n)
+    numbers = [F.col(f"__n{i}") for i in range(len(types))]
+    return top.filter(sum(numbers[1:], numbers[0]) > 0).select(key, *[(c / F.col("__total")).alias(t) for c, t in zip(numbers, types)])
+
+
 def lengths(
     df: DataFrame,
     movie: str = "MOVIE",

@@ -12,6 +12,7 @@ from playbill.plans import reports
 from playbill.plans.registry import over_views, register, rounded
 from playbill.plans.table_queries import BUCKET_SQL, COUNTRY_SQL, TREND_SQL, TYPES
 from playbill.plans.views import Tables
+from playbill.session import scratch_path
 
 SIX_COUNTRIES = ["NATION_1", "NATION_2", "NATION_3", "NATION_10", "NATION_12", "NATION_20"]
 SCORE_AXIS = ["<5", "5-6", "6-7", "7-8", "8-9", "9-10"]
@@ -368,8 +369,8 @@ register(
 # -- reports -------------------------------------------------------------------
 
 
-def _one_table(t: Tables) -> DataFrame:
-    raw = t.catalog.select(
+def _raw_table(t: Tables) -> DataFrame:
+    return t.catalog.select(
         "id",
         "type",
         F.when(F.col("id") % 5 != 0, F.col("countries")).alias("country"),
@@ -378,16 +379,20 @@ def _one_table(t: Tables) -> DataFrame:
         "date_added",
         "release_year",
     )
-    out = reports.clean_single_table(raw)
+
+
+def _one_table(t: Tables) -> DataFrame:
+    out = reports.clean_single_table(_raw_table(t))
     return out.withColumn("date_added", F.date_format("date_added", "yyyy-MM-dd"))
 
 
+RAW_TABLE_SQL = """SELECT id, type, CASE WHEN id % 5 <> 0 THEN countries END AS country,
+CASE WHEN id % 3 <> 0 THEN genres END AS "cast", rating AS director, date_added, release_year FROM catalog"""
 register(
     "r01_clean_single_table",
     _one_table,
     over_views(
-        """WITH raw AS (SELECT id, type, CASE WHEN id % 5 <> 0 THEN countries END AS country,
-        CASE WHEN id % 3 <> 0 THEN genres END AS "cast", rating AS director, date_added, release_year FROM catalog),
+        f"""WITH raw AS ({RAW_TABLE_SQL}),
         m AS (SELECT country AS common FROM raw WHERE country IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
         SELECT DISTINCT id, type, coalesce(country, common) AS country, coalesce("cast", 'No Data') AS "cast",
         coalesce(director, 'No Data') AS director, strftime(strptime(date_added, '%B %d, %Y'), '%Y-%m-%d') AS date_added,
@@ -397,9 +402,9 @@ register(
 )
 
 
-def _two_tables(t: Tables) -> DataFrame:
+def _raw_titles(t: Tables) -> DataFrame:
     quoted = F.concat(F.lit("['"), F.replace("genres", F.lit(", "), F.lit("', '")), F.lit("']"))
-    raw = t.catalog.select(
+    return t.catalog.select(
         "id",
         F.when(F.col("id") % 23 != 0, F.col("title")).alias("title"),
         "type",
@@ -409,8 +414,11 @@ def _two_tables(t: Tables) -> DataFrame:
         F.when(F.col("genres") != "No Data", quoted).alias("genres"),
         "countries",
     )
+
+
+def _two_tables(t: Tables) -> DataFrame:
     done = reports.clean_two_tables(
-        raw,
+        _raw_titles(t),
         t.credits,
         mode_cols=["rating"],
         median_cols=["score"],
@@ -439,55 +447,84 @@ register(
 )
 
 
+def _cells(df: DataFrame, section: str, key, count="count", number=None, kind=None) -> DataFrame:
+    """(section, type, key, count, value) of a report table."""
+    none = F.lit(None)
+    return df.select(
+        F.lit(section).alias("section"), (none if kind is None else F.col(kind)).cast("string").alias("type"), key.cast("string").alias("key"),
+        (none if count is None else F.col(count)).cast("long").alias("count"), F.round((none if number is None else F.col(number)).cast("double"), 6).alias("value"),
+    )
+
+
+def _catalogue_rows(tables: dict[str, DataFrame]) -> list[DataFrame]:
+    split = {"released": "release_year", "added": "year_added", "score_split": "bucket", "rating_split": "rating"}
+    ratio = tables["type_ratio"].unpivot("country", TYPES, "type", "ratio")
+    length = tables["movie_length"].groupBy("duration").agg(F.count(F.lit(1)).alias("count"))
+    return [
+        _cells(tables["type_count"], "type_count", F.lit(None), kind="type"),
+        *[_cells(tables[n], n, F.col(key), number="percent", kind="type") for n, key in split.items() if n in tables],
+        _cells(tables["country_total"], "country_total", F.col("country")),
+        _cells(tables["categories"], "categories", F.col("category")),
+        _cells(ratio, "type_ratio", F.col("country"), None, "ratio", "type"),
+        _cells(length, "movie_length", F.col("duration").cast("int")),
+        _cells(tables["people"], "people", F.concat_ws(" ", "country", "rank", "name")),
+    ]
+
+
 def _catalogue_report(t: Tables) -> DataFrame:
     dated = year_of(parse_date(t.catalog, "date_added"), "date_added", "year_added")
-    tables = reports.catalogue_report(dated, SIX_COUNTRIES, t.credits)
-    keys = {
-        "type_count": "type",
-        "released": "release_year",
-        "added": "year_added",
-        "country_total": "country",
-        "score_split": "bucket",
-        "rating_split": "rating",
-        "categories": "category",
-    }
-    return ranking.stack(
-        [
-            tables[name].groupBy(F.col(key).cast("string").alias("key")).agg(F.sum("count").alias("count")).select(
-                F.lit(name).alias("section"), "key", "count"
-            )
-            for name, key in keys.items()
-        ]
+    return ranking.stack(_catalogue_rows(reports.catalogue_report(dated, SIX_COUNTRIES, t.credits)))
+
+
+def _section(name: str, key: str, source: str = "catalog", tail: str = "") -> str:
+    return (
+        f"SELECT '{name}' AS section, NULL AS type, CAST({key} AS VARCHAR) AS \"key\", count(*) AS \"count\", NULL::DOUBLE AS value "
+        f"FROM {source} GROUP BY 3 HAVING \"key\" IS NOT NULL {tail}"
     )
 
 
-def _section(name: str, key: str, source: str = "catalog", where: str = "true") -> str:
+def _split_section(name: str, key: str, source: str = "catalog") -> str:
     return (
-        f"SELECT '{name}' AS section, CAST({key} AS VARCHAR) AS \"key\", count(*) AS \"count\" "
-        f"FROM {source} WHERE {where} GROUP BY 2 HAVING \"key\" IS NOT NULL"
+        f"SELECT '{name}', type, CAST(k AS VARCHAR), n, round(100.0 * n / total, 6) FROM (SELECT type, {key} AS k, count(*) AS n, "
+        f"sum(count(*)) OVER (PARTITION BY type) AS total FROM {source} WHERE {IN_TYPES} GROUP BY 1, 2) WHERE k IS NOT NULL"
     )
 
 
 IN_TYPES = "type IN ('MOVIE', 'SHOW')"
+CATALOGUE_SECTIONS = [
+    "SELECT 'type_count' AS section, type, NULL AS \"key\", count(*) AS \"count\", NULL::DOUBLE AS value FROM catalog GROUP BY 2",
+    _split_section("released", "release_year"),
+    _split_section("score_split", BUCKET_SQL),
+    _split_section("rating_split", "rating"),
+    _section("country_total", "country", f"({COUNTRY_SQL})"),
+    f"(SELECT * FROM ({_section('categories', 'category', f'({CATEGORY_SQL})')}) ORDER BY \"count\" DESC, \"key\" LIMIT 50)",
+    f"""SELECT 'type_ratio', x.type, country, NULL, round((CASE x.type WHEN 'MOVIE' THEN m ELSE s END) / n, 6) FROM (
+        SELECT country, count(*) AS n, count(*) FILTER (type = 'MOVIE') AS m, count(*) FILTER (type = 'SHOW') AS s
+        FROM (SELECT type, {COUNTRY_SQL[7:]}) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10) c, (VALUES ('MOVIE'), ('SHOW')) AS x(type) WHERE m + s > 0""",
+    """SELECT 'movie_length', NULL, regexp_extract(duration, '[0-9]+'), count(*), NULL FROM catalog
+        WHERE type = 'MOVIE' AND regexp_extract(duration, '[0-9]+') <> '' GROUP BY 3""",
+    f"""SELECT 'people', NULL, country || ' ' || r || ' ' || name, n, NULL FROM (
+        SELECT country, name, count(*) AS n, row_number() OVER (PARTITION BY country ORDER BY count(*) DESC, name) AS r
+        FROM (SELECT id, country FROM catalog JOIN (SELECT unnest([{', '.join(f"'{c}'" for c in SIX_COUNTRIES)}]) AS country)
+        ON list_contains(string_split(countries, ', '), country) WHERE duration <> '') JOIN credits USING (id)
+        WHERE role = 'ACTOR' AND name NOT IN ('', 'No Data') GROUP BY 1, 2) WHERE r <= 25""",
+]
 register(
     "r03_catalogue_report",
     _catalogue_report,
-    over_views(
-        " UNION ALL ".join(
-            [
-                _section("type_count", "type"),
-                _section("released", "release_year", where=IN_TYPES),
-                _section("added", "year(try_strptime(date_added, '%B %d, %Y'))", where=IN_TYPES),
-                _section("country_total", "country", f"({COUNTRY_SQL})"),
-                _section("score_split", BUCKET_SQL, where=IN_TYPES),
-                _section("rating_split", "rating", where=IN_TYPES),
-                _section("categories", "category", f"({CATEGORY_SQL})"),
-            ]
-        )
-    ),
+    over_views(" UNION ALL ".join([*CATALOGUE_SECTIONS, _split_section("added", "year(try_strptime(date_added, '%B %d, %Y'))")])),
 )
 
 
+def _swept_report(t: Tables) -> DataFrame:
+    swept = ["rating", "countries", "genres", "duration", "release_year", "title"]
+    tables = reports.catalogue_report(t.catalog, SIX_COUNTRIES, t.credits, reports.Columns(year_added=None), features=swept)
+    return _cells(tables["feature_accuracy"], "feature_accuracy", F.col("feature"), "n_distinct", "accuracy")
+
+
+register("r03_catalogue_report_swept", _swept_report)
+
+
 def _score_report(t: Tables) -> DataFrame:
     tables = reports.score_report(decade_of(t.catalog, "release_year"))
     parts = [
@@ -529,51 +566,121 @@ def _chart_tables(t: Tables) -> DataFrame:
         SCORE_AXIS,
         years=(1996, 2000),
     )
-    keys = {
-        "type_share": "type",
-        "released": "release_year",
-        "country_total": "country",
-        "length_bars": "bin",
-        "categories": "category",
-        "scores_MOVIE": "bucket",
-        "scores_SHOW": "bucket",
-    }
-    return ranking.stack(
-        [
-            tables[name].groupBy(F.col(key).cast("string").alias("key")).agg(F.sum("count").alias("count")).select(
-                F.lit(name).alias("chart"), "key", "count"
-            )
-            for name, key in keys.items()
-        ]
+    keys = {"country_total": "country", "length_bars": "bin", "categories": "category"}
+    ratio = tables["type_ratio"].unpivot("country", TYPES, "type", "ratio")
+    parts = [
+        _cells(tables["type_share"], "type_share", F.lit(None), number="share", kind="type"),
+        _cells(tables["released"], "released", F.col("release_year"), number="percent", kind="type"),
+        _cells(ratio, "type_ratio", F.col("country"), None, "ratio", "type"),
+        _cells(tables["people"], "people", F.concat_ws(" ", "country", "rank", "name")),
+        *[_cells(tables[name], name, F.col(key)) for name, key in keys.items()],
+        *[
+            _cells(tables[f"scores_{kind}"].withColumn("kind", F.lit(kind)), "scores", F.concat_ws(" ", "position", "bucket"), number="percent", kind="kind")
+            for kind in TYPES
+        ],
+    ]
+    scores = reports.score_charts(reports.score_report(decade_of(t.catalog, "release_year")))
+    parts += [_cells(scores[f"{n}_score"], f"{n}_score", F.col(n), number="avg_score") for n in ("genre", "country", "decade")]
+    parts += [_cells(scores["type_score"], f"type_score_{end}", F.lit(None), number=end, kind="type") for end in ("low", "high")]
+    lines = [scores[f"{n}_score"].select(F.lit(n).alias("n"), "line") for n in ("genre", "country", "decade", "type")]
+    parts.append(_cells(ranking.stack(lines).groupBy("n").agg(F.max("line").alias("line")), "line", F.col("n"), None, "line"))
+    return ranking.stack(parts)
+
+
+def _chart(name: str, key: str, source: str, tail: str = "") -> str:
+    return (
+        f"(SELECT '{name}' AS section, NULL AS type, CAST({key} AS VARCHAR) AS \"key\", count(*) AS \"count\", NULL::DOUBLE AS value "
+        f"FROM {source} GROUP BY 3 {tail})"
     )
 
 
-def _chart(name: str, key: str, source: str, where: str = "true", tail: str = "") -> str:
+def _score_axis_sql() -> str:
+    axis = ", ".join(f"({i}, '{label}')" for i, label in enumerate(SCORE_AXIS))
+    return f"""SELECT 'scores', x.type, i || ' ' || label, s.n, round(100.0 * s.n / s.total, 6) FROM (VALUES {axis}) AS a(i, label)
+        CROSS JOIN (VALUES ('MOVIE'), ('SHOW')) AS x(type) LEFT JOIN (SELECT type, {BUCKET_SQL} AS b, count(*) AS n,
+        sum(count(*)) OVER (PARTITION BY type) AS total FROM catalog WHERE {IN_TYPES} GROUP BY 1, 2) s ON s.type = x.type AND s.b = label"""
+
+
+def _best(name: str, key: str, source: str, where: str, more_than: int, tail: str = "") -> str:
     return (
-        f"(SELECT '{name}' AS chart, CAST({key} AS VARCHAR) AS \"key\", count(*) AS \"count\" "
-        f"FROM {source} WHERE {where} GROUP BY 2 {tail})"
+        f"(SELECT '{name}_score', NULL, CAST({key} AS VARCHAR) AS k, count(*), round(avg(score), 6) "
+        f"FROM {source} WHERE {where} GROUP BY 3 HAVING count(*) > {more_than} {tail})"
     )
 
 
+TOP_SCORES = "ORDER BY avg(score) DESC, k LIMIT 15"
+
+
 register(
     "r05_chart_tables",
     _chart_tables,
     over_views(
-        """WITH l AS (SELECT CAST(regexp_extract(duration, '[0-9]+') AS DOUBLE) AS v FROM catalog WHERE type = 'MOVIE'),
+        f"""WITH {COUNTRY_ROWS}, e AS (SELECT score, trim(unnest(string_split(genres, ','))) AS genre FROM catalog),
+        l AS (SELECT CAST(regexp_extract(duration, '[0-9]+') AS DOUBLE) AS v FROM catalog WHERE type = 'MOVIE'),
         h AS (SELECT min(v) AS lo, (max(v) - min(v)) / 40 AS w FROM l),
         r AS (SELECT v, lo, w, CAST(least(floor((v - lo) / w), 39) AS INT) AS g FROM l, h),
         s AS (SELECT CASE WHEN v < lo + g * w THEN g - 1 WHEN g < 39 AND v >= lo + (g + 1) * w THEN g + 1
-        ELSE g END AS bin FROM r) """
+        ELSE g END AS bin FROM r),
+        ends AS (SELECT type, avg(score) AS m, stddev_samp(score) AS d, count(score) AS n FROM catalog WHERE score IS NOT NULL GROUP BY 1) """
         + " UNION ALL ".join(
             [
-                _chart("type_share", "type", "catalog"),
-                _chart("released", "release_year", "catalog", f"{IN_TYPES} AND release_year BETWEEN 1996 AND 2000"),
-                _chart("country_total", "country", f"({COUNTRY_SQL})", tail="ORDER BY 3 DESC, 2 LIMIT 15"),
                 _chart("length_bars", "bin", "s"),
-                _chart("categories", "category", f"({CATEGORY_SQL})", tail="ORDER BY 3 DESC, 2 LIMIT 15"),
-                _chart("scores_MOVIE", BUCKET_SQL, "catalog", "type = 'MOVIE'"),
-                _chart("scores_SHOW", BUCKET_SQL, "catalog", "type = 'SHOW'"),
+                "SELECT 'type_share', type, NULL, count(*), round(count(*) / (SELECT count(*) FROM catalog), 6) FROM catalog GROUP BY 2",
+                CATALOGUE_SECTIONS[1].replace("WHERE k IS NOT NULL", "WHERE k BETWEEN 1996 AND 2000"),
+                CATALOGUE_SECTIONS[6],
+                CATALOGUE_SECTIONS[8].replace("r <= 25", "r <= 10"),
+                _chart("country_total", "country", f"({COUNTRY_SQL})", "ORDER BY 4 DESC, 3 LIMIT 15"),
+                _chart("categories", "category", f"({CATEGORY_SQL})", "ORDER BY 4 DESC, 3 LIMIT 15"),
+                _score_axis_sql(),
+                _best("country", "country", "b", "country <> ''", 20, TOP_SCORES),
+                _best("genre", "genre", "e", "genre NOT IN ('', 'No Data') AND score IS NOT NULL", 20, TOP_SCORES),
+                _best("decade", "CAST(floor(release_year / 10) * 10 AS INT)", "catalog", "score IS NOT NULL", 10),
+                "SELECT 'type_score_low', type, NULL, n, round(m - d, 6) FROM ends",
+                "SELECT 'type_score_high', type, NULL, n, round(m + d, 6) FROM ends",
+                "SELECT 'line', NULL, unnest(['genre', 'country', 'decade', 'type']), NULL, 6.0",
             ]
         )
     ),
 )
+
+# -- gaps before and after cleaning ----------------------------------------------
+
+
+def _profile_rows(t: Tables, raw: DataFrame, clean) -> DataFrame:
+    return reports.cleaned_with_profile(raw, clean, scratch_path(t.spark, "cleaned"))[1]
+
+
+def _gaps_sql(stage: str, source: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{stage}' AS stage, '{c}' AS \"column\", count(*) AS \"rows\", count(*) - count(\"{c}\") AS null_count, "
+        f"round(100.0 * (count(*) - count(\"{c}\")) / nullif(count(*), 0), 2) AS null_rate FROM {source}"
+        for c in cols
+    )
+
+
+ONE_TABLE = ["id", "type", "country", "cast", "director", "date_added", "release_year"]
+register(
+    "r01_profile",
+    lambda t: _profile_rows(t, _raw_table(t), reports.clean_single_table),
+    over_views(
+        f"""WITH raw AS ({RAW_TABLE_SQL}), done AS (SELECT *, 0 AS year_added FROM (SELECT DISTINCT id, type, coalesce(country, '') AS country,
+        coalesce("cast", '') AS "cast", coalesce(director, '') AS director, date_added, release_year FROM raw WHERE date_added IS NOT NULL))
+        {_gaps_sql("before", "raw", ONE_TABLE)} UNION ALL {_gaps_sql("after", "done", [*ONE_TABLE, "year_added"])}"""
+    ),
+)
+TWO_TABLES = ["id", "title", "type", "release_year", "rating", "score", "genres", "countries"]
+register(
+    "r02_profile",
+    lambda t: _profile_rows(
+        t,
+        _raw_titles(t),
+        lambda raw: reports.clean_titles(raw, ["rating"], ["score"], ["genres"], ["genres", "countries"]),
+    ),
+    over_views(
+        f"""WITH raw AS (SELECT id, CASE WHEN id % 23 <> 0 THEN title END AS title, type, release_year, rating, score,
+        CASE WHEN genres <> 'No Data' THEN genres END AS genres, countries FROM catalog),
+        done AS (SELECT id, title, type, release_year, 0 AS rating, 0 AS score, 0 AS genres, countries, 0 AS main_genre, 0 AS "decade"
+        FROM raw WHERE title IS NOT NULL)
+        {_gaps_sql("before", "raw", TWO_TABLES)} UNION ALL {_gaps_sql("after", "done", [*TWO_TABLES, "main_genre", "decade"])}"""
+    ),
+)

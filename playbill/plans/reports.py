@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from playbill.functions import bucket_label, is_missing, split_trimmed
 from playbill.functions.text import NO_DATA
 from playbill.models.clusters import cluster, cluster_profile, k_sweep
 from playbill.models.supervised import (
@@ -20,14 +21,11 @@ from playbill.models.supervised import (
 )
 from playbill.operators.aggregates import (
     avg_by,
-    bucket_split,
-    category_split,
-    count_by,
-    country_total,
+    category_shares,
+    facet_counts,
     lengths,
+    ratio_of_counts,
     stats_by,
-    trend,
-    type_ratio,
 )
 from playbill.operators.clean import (
     cast_columns,
@@ -50,10 +48,12 @@ from playbill.operators.derive import (
     year_of,
 )
 from playbill.operators.distribution import histogram, normal_curve
-from playbill.operators.filters import between, in_set, positive
+from playbill.operators.filters import between, by_type, in_set, positive
 from playbill.operators.joins import reindex
 from playbill.operators.people import PART_ROWS, attach_people
-from playbill.operators.ranking import mark_best, n_largest, top_members, top_people
+from playbill.operators.ranking import mark_best, n_largest, top_people
+from playbill.session import scratch_path
+from playbill.sources import write_table
 
 
 @dataclass(frozen=True)
@@ -93,6 +93,36 @@ def clean_single_table(
     return year_of(parse_date(whole, date_col), date_col, "year_added")
 
 
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The table with its cells counted while it is written or read for something else."""
+    seen = Observation(name)
+    gaps = [F.count_if(is_missing(df, c)).alias(f"g{i}") for i, c in enumerate(df.columns)]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *gaps), seen
+
+
+def profile_of(spark: SparkSession, seen: Observation, columns: Sequence[str], stage: str) -> DataFrame:
+    """(stage, column, rows, null_count, null_rate) of an observed table; the rate in percent, two decimals."""
+    found = seen.get
+    n = found["rows"]
+    rows = [(stage, c, n, found[f"g{i}"], round(100.0 * found[f"g{i}"] / n, 2) if n else None) for i, c in enumerate(columns)]
+    return spark.createDataFrame(rows, "stage string, column string, rows long, null_count long, null_rate double")
+
+
+def cleaned_with_profile(raw: DataFrame, clean: Callable[[DataFrame], DataFrame], path: str) -> tuple[DataFrame, DataFrame]:
+    """Write the cleaned table to ``path``; the table and the gaps of every column before and after.
+
+    Gaps after are counted by the write itself, and those before by the one pass
+    that a cleaning with fills needs over its raw table anyway.
+    """
+    spark = raw.sparkSession
+    before, seen_before = observed(raw, f"before {path}")
+    before.write.format("noop").mode("overwrite").save()
+    after, seen_after = observed(clean(raw), f"after {path}")
+    write_table(after, path)
+    done = spark.read.parquet(path)
+    return done, profile_of(spark, seen_before, raw.columns, "before").union(profile_of(spark, seen_after, done.columns, "after"))
+
+
 def clean_credits(credits: DataFrame, cols: Sequence[str] = ("name", "character")) -> DataFrame:
     """Fill people columns by a constant and drop repeats."""
     return dedup(fill_constant(credits, {c: NO_DATA for c in cols}))
@@ -146,25 +176,47 @@ def catalogue_report(
     at: Columns = Columns(),
     features: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """All catalog questions over one cleaned table, each as a lazy DataFrame.
+    """All catalog questions over one cleaned table.
 
-    Only the single-column classification, built when ``features`` are named, runs jobs.
+    Titles are read three times: once for the counts of all sections, which one
+    pass writes to a small table (a row per section, type and key), once for the
+    lengths and once for the people; the last two and all that follows are lazy. The
+    single-column classification, built when ``features`` are named, fits models.
     """
-    countries = drop_sentinels(explode_list(titles, at.country, "country"), "country", [""])
+    cells = F.col(at.genre)
+    single = {"type_count": F.lit(""), "released": F.col(at.release_year), "score_split": bucket_label(F.col(at.score))}
+    if at.rating:
+        single["rating_split"] = F.col(at.rating)
+    if at.year_added:
+        single["added"] = F.col(at.year_added)
+    lists = {"country": split_trimmed(F.col(at.country)), "category": F.when(~cells.isin("", NO_DATA), split_trimmed(cells))}
+    path = scratch_path(titles.sparkSession, "facets")
+    write_table(facet_counts(titles, single, lists, at.type), path)
+    counts = titles.sparkSession.read.parquet(path)
+
+    def facet(name: str, key: str, kind: str = "string") -> DataFrame:
+        return counts.filter(F.col("facet") == name).select(at.type, F.col("key").cast(kind).alias(key), "count")
+
+    def shares(name: str, key: str) -> DataFrame:
+        own = facet(name, key, titles.schema[key].dataType.simpleString() if key in titles.columns else "string")
+        return category_shares(by_type(own, at.type, at.types), at.types, key, at.type)
+
+    countries = facet("country", "country").filter("country <> ''")
+    categories = facet("category", "category").groupBy("category").agg(F.sum("count").alias("count"))
     report = {
-        "type_count": count_by(titles, at.type),
-        "released": trend(titles, at.release_year, at.types, at.type),
-        "country_total": country_total(titles, at.country),
-        "type_ratio": type_ratio(countries, "country", at.types, type_col=at.type),
+        "type_count": facet("type_count", "key").select(at.type, "count"),
+        "released": shares("released", at.release_year),
+        "country_total": countries.groupBy("country").agg(F.sum("count").alias("count")),
+        "type_ratio": ratio_of_counts(countries, "country", at.types, type_col=at.type),
         "movie_length": lengths(titles, at.movie, at.length, at.type),
-        "score_split": bucket_split(titles, at.types, at.score, type_col=at.type),
-        "categories": top_members(titles, at.genre),
+        "score_split": shares("score_split", "bucket"),
+        "categories": n_largest(categories, "count", 50, ["category"]).orderBy("count", F.desc("category")),
         "people": top_people(titles, wanted, credits=credits, countries=at.country, length=at.length),
     }
     if at.rating:
-        report["rating_split"] = category_split(titles, at.types, at.rating, at.type)
+        report["rating_split"] = shares("rating_split", at.rating)
     if at.year_added:
-        report["added"] = trend(titles, at.year_added, at.types, at.type)
+        report["added"] = shares("added", at.year_added)
     if features:
         report["feature_accuracy"] = feature_accuracy(titles, features, at.type)
     return report
@@ -258,6 +310,40 @@ def chart_tables(
     return tables
 
 
+# fixed value: the line that score charts draw as the overall average
+SCORE_LINE = 6.0
+
+
+def score_charts(report: Mapping[str, DataFrame], top: int = 15) -> dict[str, DataFrame]:
+    """What the score charts draw, from ``score_report``.
+
+    Bars of the best genres and countries from the lowest up, the line of
+    decades, types with the ends of their error bars; the overall line beside each.
+    """
+    line = F.lit(SCORE_LINE).alias("line")
+    bars = {k: n_largest(report[k], "avg_score", top, [k]).orderBy("avg_score", F.desc(k)).select(k, "avg_score", "count", line) for k in ("genre", "country")}
+    kinds = report["type"]
+    spread = [(F.col("avg_score") + sign * F.col("std_score")).alias(name) for sign, name in ((-1, "low"), (1, "high"))]
+    return {
+        "genre_score": bars["genre"],
+        "country_score": bars["country"],
+        "decade_score": report["decade"].orderBy("decade").select("decade", "avg_score", "count", line),
+        "type_score": kinds.select(kinds.columns[0], "avg_score", "count", *spread, line),
+    }
+
+
+def model_charts(report: Mapping[str, DataFrame], top: int = 10) -> dict[str, DataFrame]:
+    """What the model charts draw, from ``model_report``: comparisons, heaviest features, k, cluster sizes and means."""
+    return {
+        "classifiers": mark_best(report["classifiers"], "accuracy"),
+        "regressors": mark_best(report["regressors"], "r2"),
+        "forest_importance": n_largest(report["forest_importance"], "importance", top, ["feature"]).orderBy("importance", F.desc("feature")),
+        "boosted_importance": n_largest(report["boosted_importance"], "importance", top, ["feature"]).orderBy("importance", F.desc("feature")),
+        "k_sweep": report["k_sweep"].orderBy("k"),
+        "clusters": cluster_chart(report["cluster_profile"]).orderBy("prediction"),
+    }
+
+
 def cluster_chart(profile: DataFrame, year: str = "avg_release_year", people: str = "avg_actor_count") -> DataFrame:
     """Cluster means with year and people brought onto the score axis."""
     scaled = rescale(profile, year, 1900, 10, out=f"{year}_scaled")

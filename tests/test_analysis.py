@@ -252,3 +252,46 @@ def test_nan_is_missing_in_aggregates(spark):
 
 def test_distinct_count_of_an_empty_table(spark):
     assert profile.distinct_count(spark.createDataFrame([], "a int, b string")).collect() == [("a", 0), ("b", 0)]
+
+
+def test_profile_counts_gaps_before_and_after(spark, tmp_path):
+    rows = [(1, None, "a"), (2, float("nan"), None), (2, 1.0, None), (None, 2.0, "b")]
+    raw = spark.createDataFrame(rows, "id int, x double, y string").repartition(2)
+    done, found = reports.cleaned_with_profile(raw, lambda df: df.na.fill("-", ["y"]).na.drop(subset=["id"]), f"{tmp_path}/out")
+    got = {(r["stage"], r["column"]): (r["rows"], r["null_count"], r["null_rate"]) for r in found.collect()}
+    assert got[("before", "id")] == (4, 1, 25.0) and got[("before", "x")][1] == 2 and got[("before", "y")][1] == 2
+    assert got[("after", "id")] == (3, 0, 0.0) and got[("after", "y")] == (3, 0, 0.0) and done.count() == 3
+    none = reports.cleaned_with_profile(raw.limit(0), lambda df: df, f"{tmp_path}/none")[1]
+    assert {(r["rows"], r["null_rate"]) for r in none.collect()} == {(0, None)}
+
+
+def test_facets_count_rows_and_members(spark):
+    rows = [("M", 1, ["a", "b"]), ("M", None, None), ("S", 1, ["a", "a"]), (None, 2, [])]
+    df = spark.createDataFrame(rows, "type string, year int, members array<string>")
+    got = aggregates.facet_counts(df, {"year": F.col("year")}, {"member": F.col("members")})
+    assert {tuple(r) for r in got.collect()} == {
+        ("year", "M", "1", 1), ("year", "M", None, 1), ("year", "S", "1", 1), ("year", None, "2", 1),
+        ("member", "M", "a", 1), ("member", "M", "b", 1), ("member", "S", "a", 2),
+    }
+    ratio = aggregates.ratio_of_counts(got.where("facet = 'member'"), "key", ["M", "S"])
+    assert {tuple(r) for r in ratio.collect()} == {("a", 1 / 3, 2 / 3), ("b", 1.0, 0.0)}
+
+
+def test_score_and_model_charts(spark):
+    scores = reports.score_charts({
+        k: spark.createDataFrame([("x", 5.0, 3), ("y", 7.0, 2)], f"{k} string, avg_score double, count int") for k in ("country", "genre", "decade")
+    } | {"type": spark.createDataFrame([("MOVIE", 6.0, 1.5, 1.0, 9.0, 4)], "type string, avg_score double, std_score double, min_score double, max_score double, count int")})
+    assert [tuple(r) for r in scores["genre_score"].collect()] == [("x", 5.0, 3, 6.0), ("y", 7.0, 2, 6.0)]
+    assert tuple(scores["type_score"].first()) == ("MOVIE", 6.0, 4, 4.5, 7.5, 6.0)
+    pairs = spark.createDataFrame([("a", 0.5), ("b", 0.25)], "feature string, importance double")
+    models = reports.model_charts({
+        "classifiers": spark.createDataFrame([("RF", 0.9, 0.8), ("LR", 0.7, 0.7)], "model string, accuracy double, f1 double"),
+        "regressors": spark.createDataFrame([("RF", 0.9, 0.8), ("LR", 0.7, 0.7)], "model string, rmse double, r2 double"),
+        "forest_importance": pairs, "boosted_importance": pairs,
+        "k_sweep": spark.createDataFrame([(3, 0.5), (2, 0.4)], "k int, silhouette double"),
+        "cluster_profile": spark.createDataFrame([(0, 4, 2000.0, 20.0)], "prediction int, size int, avg_release_year double, avg_actor_count double"),
+    })
+    assert [r["is_best"] for r in models["classifiers"].orderBy("model").collect()] == [False, True]
+    assert [r["feature"] for r in models["forest_importance"].collect()] == ["b", "a"]
+    assert [r["k"] for r in models["k_sweep"].collect()] == [2, 3]
+    assert models["clusters"].first()["avg_release_year_scaled"] == 10.0
