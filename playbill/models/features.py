@@ -9,6 +9,8 @@ from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, Vec
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playbill.session import scratch_path
+
 
 def check_labels(df: DataFrame, cols: Sequence[str], max_labels: int) -> None:
     """Refuse columns with more than ``max_labels`` different values, counted exactly."""
@@ -18,21 +20,50 @@ def check_labels(df: DataFrame, cols: Sequence[str], max_labels: int) -> None:
         raise ValueError(f"more than {max_labels} different values in {wide}")
 
 
+def label_numbers(df: DataFrame, col: str) -> tuple[DataFrame, int]:
+    """(label, number) of every value of a column by falling count, ties by name, and how many there are.
+
+    Labels are counted and range sorted, each partition numbers its own, and one
+    offset a partition is all that comes to the driver, so there may be any
+    number of labels. The sorted table is written, so that its order stays.
+    """
+    spark = df.sparkSession
+    counts = df.select(F.col(col).cast("string").alias("label")).where("label IS NOT NULL").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_path(spark, "labels")
+    counts.orderBy(F.desc("n"), "label").select("label", F.monotonically_increasing_id().alias("at")).write.parquet(path)
+    ranked = spark.read.parquet(path).select("label", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
+    sizes = sorted(ranked.groupBy("part").agg(F.max("place") + 1).collect())
+    offsets, total = [], 0
+    for part, size in sizes:
+        offsets.append((part, total))
+        total += size
+    before = spark.createDataFrame(offsets, "part long, before long")
+    numbered = ranked.join(F.broadcast(before), "part").select("label", (F.col("before") + F.col("place")).alias("number"))
+    return numbered, total
+
+
 def index(
     df: DataFrame, cols: Sequence[str], invalid: str = "keep", max_labels: int | None = None
 ) -> DataFrame:
-    """Label numbers by falling count, ties by name; ``keep`` adds a slot for unseen labels.
+    """Label numbers by falling count, ties by name, joined to the rows; no list of labels on the driver.
 
-    The list of labels lives on the driver: it is for categories. A caller who is
-    not sure sets ``max_labels``; free text is hashed instead, as in
-    ``supervised.feature_accuracy``.
+    A missing label gets a number of its own after all others (``keep``), is an
+    ``error``, or its row is left out (``skip``). ``max_labels`` refuses columns with more.
     """
+    if invalid not in ("keep", "error", "skip"):
+        raise ValueError("invalid must be keep, error or skip")
     if max_labels is not None:
         check_labels(df, cols, max_labels)
-    indexer = StringIndexer(
-        inputCols=list(cols), outputCols=[f"{c}_index" for c in cols], handleInvalid=invalid
-    )
-    return indexer.fit(df).transform(df)
+    for c in cols:
+        numbers, total = label_numbers(df, c)
+        numbers = numbers.toDF("__label", "__number")
+        joined = df.join(numbers, F.col(c).cast("string") == F.col("__label"), "inner" if invalid == "skip" else "left")
+        missing = F.lit(total) if invalid == "keep" else F.raise_error(F.lit(f"missing label in {c}")).cast("long")
+        values = total + (invalid == "keep")
+        number = F.when(F.col("__number").isNotNull(), F.col("__number")).otherwise(missing).cast("double")
+        slot = {"ml_attr": {"type": "nominal", "num_vals": values, "name": f"{c}_index"}}
+        df = joined.withColumn(f"{c}_index", number).withMetadata(f"{c}_index", slot).drop("__label", "__number")
+    return df
 
 
 def one_hot(df: DataFrame, cols: Sequence[str]) -> DataFrame:

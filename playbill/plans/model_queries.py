@@ -123,6 +123,36 @@ register(
     ),
 )
 
+
+
+def _width(df: DataFrame, col: str) -> int:
+    """Slots of a vector column, from what its stages noted."""
+    return int(df.schema[col].metadata["ml_attr"]["num_attrs"])
+
+
+def _wide_labels(t: Tables) -> DataFrame:
+    """Titles, a label each, beside few ratings: indexed, encoded and assembled."""
+    rows = t.catalog.select("id", "title", "rating", "release_year")
+    encoded = features.one_hot(features.index(rows, ["title", "rating"]), ["title", "rating"])
+    whole = features.assemble(encoded, ["title_vec", "rating_vec", "release_year"])
+    return whole.select(
+        "id", F.col("title_index").cast("int").alias("title_slot"), F.col("rating_index").cast("int").alias("rating_slot"),
+        F.lit(_width(whole, "features")).alias("width"),
+    )
+
+
+register(
+    "m06_wide_labels",
+    _wide_labels,
+    over_views(
+        """WITH a AS (SELECT title, row_number() OVER (ORDER BY count(*) DESC, title) - 1 AS s FROM catalog GROUP BY 1),
+        b AS (SELECT rating, row_number() OVER (ORDER BY count(*) DESC, rating) - 1 AS s FROM catalog WHERE rating IS NOT NULL GROUP BY 1)
+        SELECT id, CAST(a.s AS INT) AS title_slot, CAST(coalesce(b.s, (SELECT count(*) FROM b)) AS INT) AS rating_slot,
+        CAST((SELECT count(*) FROM a) + (SELECT count(*) FROM b) + 1 AS INT) AS width
+        FROM catalog JOIN a USING (title) LEFT JOIN b USING (rating)"""
+    ),
+)
+
 # -- single-column sweeps ------------------------------------------------------
 
 SWEPT = ["title", "release_year", "rating", "duration", "countries", "genres"]

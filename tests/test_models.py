@@ -193,3 +193,15 @@ def test_first_rounds_are_those_of_a_shorter_fit(planted):
         for n, f1 in zip([2, 5, 9], found):
             short = GBTClassifier(seed=42, maxIter=n, maxDepth=4).fit(vectors).transform(shown)
             assert f1 == pytest.approx(metrics.class_metrics(short).first()["f1"], abs=1e-12)
+
+
+def test_missing_labels_and_many_labels(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "k string")
+    got = sorted((r["k"] or "", r["k_index"]) for r in features.index(df, ["k"]).collect())
+    assert got == [("", 2.0), ("a", 1.0), ("b", 0.0), ("b", 0.0)]
+    assert features.index(df, ["k"], invalid="skip").count() == 3
+    with pytest.raises(Exception, match="missing label in k"):
+        features.index(df, ["k"], invalid="error").collect()
+    assert features.index(df.limit(0), ["k"]).collect() == []
+    many = spark.range(5000).select(F.format_string("t%05d", "id").alias("k"), "id").repartition(6)
+    assert all(r["k_index"] == r["id"] for r in features.index(many, ["k"]).collect())
