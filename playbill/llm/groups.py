@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playbill.session import scratch_path
@@ -13,13 +14,36 @@ from playbill.session import scratch_path
 BROADCAST_IDS = 400_000
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it back; cuts the lineage for good."""
+# Paths of the tables stored in each open block of :func:`freed`, the innermost last.
+_blocks: list[list[str]] = []
+
+
+def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write a table to the shared folder and read it back; cuts the lineage for good.
+
+    Inside a block of :func:`freed` the table goes when the block ends; ``keep``
+    leaves it to the block around that one.
+    """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    owner = _blocks[:-1] if keep else _blocks
+    if owner:
+        owner[-1].append(path)
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables stored in the block when it ends: what it returns must be stored with ``keep``."""
+    _blocks.append([])
+    try:
+        yield
+    finally:
+        for path in _blocks.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def pick(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key is among ``ids`` (a stored table with a column of that name).
 
@@ -43,14 +67,18 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
     then all smaller ones, until every id hangs on the root of a star. Links stay
     in tables, one written in each round.
     """
+    with freed(links.sparkSession):
+        return _settled(links, rounds)
+
+
+def _settled(links: DataFrame, rounds: int) -> DataFrame:
     now = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
     before = None
     for _ in range(rounds):
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
-            return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
-                now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-            )
+            ends = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+            return stored(now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(ends), "components", keep=True)
         before = state
         both = now.union(now.select("v", "u")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
@@ -86,12 +114,18 @@ def linked_groups(
     ``refine`` may give longer sketches (id, more), tested by ``closer`` inside
     the join, so that pairs just below the threshold are not written out.
     """
-    # Sorted by bucket, an id is not alone if a neighbour has the same bucket.
-    order = Window.partitionBy("bucket").orderBy("id")
-    beside = buckets.select("bucket", "id", F.lag("id").over(order).alias("before"), F.lead("id").over(order).alias("after"))
-    shared = stored(beside.where("before is not null or after is not null").select("bucket", "id"), "shared")
-    many = shared.groupBy("bucket").agg(F.count("*").alias("n"))
-    score = shared.join(many, "bucket").groupBy("id").agg(F.sum("n").alias("score"))
+    spark = buckets.sparkSession
+    with freed(spark):
+        return stored(_linked(buckets, sketches, close, confirm, known, refine, closer), "groups", keep=True)
+
+
+def _linked(buckets, sketches, close, confirm, known, refine, closer) -> DataFrame:
+    spark = buckets.sparkSession
+    buckets = stored(buckets, "buckets")
+    many = stored(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "many")
+    shared = stored(buckets.join(many, "bucket"), "shared")
+    score = shared.groupBy("id").agg(F.sum("n").alias("score"))
+    shared = shared.select("bucket", "id")
     inner = stored(score.join(sketches, "id"), "scores")
     rows = stored(shared.join(inner.select("id", "score"), "id").select("bucket", "id", "score"), "rows")
     hub = rows.groupBy("bucket").agg(F.max(F.struct("score", "id")).alias("hub"))
@@ -104,8 +138,13 @@ def linked_groups(
         return once.join(left, "a").join(right, "b").where(close(F.col("sa"), F.col("sb"))).select("a", "b")
 
     done = stored(tested(pairs.select(F.col("id").alias("a"), F.col("hub").alias("b"))), "pairs")
-    links = confirm(done)
-    links = stored(links.union(known) if known is not None else links, "confirmed")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        with freed(spark):
+            return stored(confirm(pairs), "confirmed", keep=True)
+
+    links = confirmed(done)
+    links = links.union(known) if known is not None else links
     groups = connected(links)
 
     def labelled() -> DataFrame:
@@ -127,7 +166,7 @@ def linked_groups(
     fresh = tested(pairs.select(F.col("id").alias("a"), F.col("hub").alias("b"))).join(done, ["a", "b"], "left_anti")
     fresh = stored(fresh, "pairs")
     done = done.union(fresh)
-    links = links.union(stored(confirm(fresh), "confirmed"))
+    links = links.union(confirmed(fresh))
     groups = connected(links)
 
     mixed = stored(labelled().join(inner.select("id", "sketch"), "id").select("bucket", "id", "label", "sketch"), "mixed")
@@ -140,4 +179,4 @@ def linked_groups(
     across = x.join(y.hint("merge"), apart & test)
     fresh = across.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     fresh = stored(fresh.join(done, ["a", "b"], "left_anti"), "pairs")
-    return connected(links.union(stored(confirm(fresh), "confirmed")))
+    return connected(links.union(confirmed(fresh)))

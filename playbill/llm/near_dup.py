@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playbill.llm.groups import linked_groups, pick, stored
+from playbill.llm.groups import freed, linked_groups, pick, stored
 from playbill.llm.tasks import map_text, text_batches
 
 WORDS = 5
@@ -173,47 +173,63 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     and has no component; it is kept. Keys are integers; other columns are not
     read; an empty table gives no row.
     """
+    with freed(docs.sparkSession):
+        return stored(_grouped(docs, key, text), "near", keep=True)
+
+
+def _grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
     marks = stored(signatures(docs, key, text), "signatures")
     some = marks.where("n_shingles > 0 and id is not null")
+    # A class is one set. It goes by the smallest document that has it or, where that
+    # document has several sets, by a number below all keys.
     classes = some.groupBy("set_key").agg(F.min("id").alias("rep"))
-    reps = some.join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    low = min(0, some.agg(F.min("id")).first()[0] or 0)
+    single = classes.groupBy("rep").agg(F.count("*").alias("n"))
+    number = F.when(F.col("n") == 1, F.col("rep")).otherwise(F.lit(low) - 1 - F.monotonically_increasing_id())
+    classes = stored(classes.join(single, "rep").select("set_key", "rep", number.alias("class")), "classes")
+    reps = some.join(classes, "set_key").where("id = rep").dropDuplicates(["class"])
+    reps = stored(reps.select(F.col("class").alias("id"), "bands", "sketch"), "reps")
     buckets = reps.select(F.explode("bands").alias("bucket"), "id").distinct()
-    sketches = reps.groupBy("id").agg(F.first("sketch").alias("sketch"))
     # Only where one key has several texts: their classes belong together.
-    texts_of = some.join(classes, "set_key").groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.collect_set("rep").alias("reps"))
-    known = texts_of.where("a < b").select("a", F.explode("reps").alias("b")).where("a <> b")
+    texts_of = some.join(classes, "set_key").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.collect_set("class").alias("all"))
+    known = texts_of.where("a < b").select("a", F.explode("all").alias("b")).where("a <> b")
 
     texts = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"))
 
-    def refine(ids: DataFrame) -> DataFrame:
+    def of_classes(ids: DataFrame, name: str, work) -> DataFrame:
+        """(id, ``name``) of classes: ``work`` turns a list of shingle sets into an array of longs each."""
+
         def rows(batches):
+            import xxhash
+
             memory = _WordHashes()
-            a, b = _permutations(MORE_VALUES)
             for batch, own in text_batches(batches, "text"):
-                least = np.array([_least(shingle_set(t, memory), a, b) for t in own], np.uint32)
-                more = pa.array(list(_sketches(least)), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0), more], ["id", "more"])
+                sets = [shingle_set(t, memory) for t in own]
+                keys = pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([keys, pa.array(work(sets), pa.list_(pa.int64()))], ["set_key", name])
 
-        return stored(map_text(pick(texts, ids, "id"), rows, "id long, more array<long>"), "sketches")
+        wanted = stored(classes.join(ids.withColumnRenamed("id", "class"), "class", "left_semi"), "wanted")
+        near = pick(texts, stored(wanted.select(F.col("rep").alias("id")).distinct(), "ids"), "id")
+        found = map_text(near, rows, f"set_key binary, {name} array<long>").join(wanted, "set_key")
+        return stored(found.select(F.col("class").alias("id"), name).dropDuplicates(["id"]), name)
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
-
-        def rows(batches):
-            memory = _WordHashes()
-            for batch, texts in text_batches(batches, "text"):
-                own = [shingle_set(t, memory).view(np.int64) for t in texts]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int64()))], ["id", "shingles"])
+    def refine(ids: DataFrame) -> DataFrame:
+        a, b = _permutations(MORE_VALUES)
+        return of_classes(ids, "more", lambda sets: list(_sketches(np.array([_least(x, a, b) for x in sets], np.uint32))))
 
-        sets = stored(map_text(pick(texts, ids, "id"), rows, "id long, shingles array<long>"), "sets")
+    def confirm(pairs: DataFrame) -> DataFrame:
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        sets = of_classes(ids, "shingles", lambda sets: [x.view(np.int64) for x in sets])
         a, b = sets.toDF("a", "x"), sets.toDF("b", "y")
         both = F.size(F.array_intersect("x", "y"))
         full = pairs.join(a, "a").join(b, "b").withColumn("both", both)
         return full.where(100 * F.col("both") >= PERCENT * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b").distinct()
 
-    groups = linked_groups(buckets, sketches, close_sketches, confirm, known, refine, closer_sketches)
-    of_rep = classes.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
-    found = marks.select("id", "n_shingles", "set_key").join(of_rep, "set_key", "left")
+    groups = linked_groups(buckets, reps.select("id", "sketch"), close_sketches, confirm, known, refine, closer_sketches)
+    grouped = classes.join(groups.withColumnRenamed("id", "class"), "class", "left").withColumn("label", F.coalesce("component", "class"))
+    least = grouped.where("component is not null").groupBy("label").agg(F.min("rep").alias("least"))
+    of_set = grouped.join(least, "label", "left").select("set_key", F.coalesce("least", "rep").alias("component"))
+    found = marks.select("id", "n_shingles", "set_key").join(of_set, "set_key", "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id"))
     out = found.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col(key), F.lit(True)))

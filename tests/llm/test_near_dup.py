@@ -64,6 +64,16 @@ def test_repeated_and_missing_keys(spark):
     assert near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").limit(0)).count() == 0
 
 
+def test_two_texts_of_one_key_and_near_copies_of_both(spark):
+    first, second = [f"a{i}" for i in range(80)], [f"b{i}" for i in range(80)]
+    near = [" ".join(x if i != 40 else "new" for i, x in enumerate(w)) for w in (first, second)]
+    rows = [(-7, " ".join(first)), (-7, " ".join(second)), (3, near[0]), (4, near[1]), (5, "c " * 9)]
+    for order in (rows, [rows[1], rows[0], *rows[2:]]):
+        df = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
+        got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_dup.near_duplicates(df).collect())
+        assert got == [(-7, -7, True), (-7, -7, True), (3, -7, False), (4, -7, False), (5, 5, True)]
+
+
 def test_connected(spark):
     chain = [(i, i + 1) for i in range(100)] + [(500, i) for i in range(200, 230)] + [(900, 901), (901, 900)]
     got = {r["id"]: r["component"] for r in connected(spark.createDataFrame(chain, "a long, b long")).collect()}
