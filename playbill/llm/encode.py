@@ -30,8 +30,23 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class _Index(dict):
+    """Numbers of parts in the order they were met; those not looked at yet are in ``fresh``."""
+
+    def __init__(self):
+        self.fresh: list[str] = []
+
+    def __missing__(self, part: str) -> int:
+        number = self[part] = len(self)
+        self.fresh.append(part)
+        return number
+
+
 class Encoder:
-    """Ids by the ``tokenizers`` library, special tokens read as ordinary text."""
+    """Ids by the ``tokenizers`` library, as it gives them: the names of special tokens in a text are those tokens.
+
+    No such name holds a space, so it never lies across a cut.
+    """
 
     def __init__(self, name: str, memory: int = MEMORY):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -39,7 +54,6 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
-        self.tokenizer.encode_special_tokens = True
         # Byte-level vocabularies without a normaliser keep every byte of a text.
         self.keeps_bytes = self.tokenizer.normalizer is None and isinstance(
             self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel
@@ -54,8 +68,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.index = _Index()
+        self.starts, self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def _parts(self, text: str) -> list[str]:
         if not self.keeps_bytes:
@@ -68,12 +82,13 @@ class Encoder:
     def _whole(self, parts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
-    def _together(self, parts: list[str]) -> list[np.ndarray] | None:
-        """Ids of each part from one call over all of them; None if they can't be told apart."""
+    def _together(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of all parts from one call, and how many each has; None if they can't be told apart."""
         if self.keeps_bytes:
-            ids = np.array(self._whole(["".join(parts)])[0], np.uint32)
-            ends = np.cumsum(self.bytes_of[ids])
-            stops = np.searchsorted(ends, np.cumsum([len(p.encode("utf-8", "surrogatepass")) for p in parts])) + 1
+            whole = "".join(parts)
+            ids = np.array(self._whole([whole])[0], np.uint32)
+            sizes = map(len, parts) if whole.isascii() else (len(p.encode("utf-8", "surrogatepass")) for p in parts)
+            stops = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(np.fromiter(sizes, np.int64, len(parts)))) + 1
         else:
             if self.mark is None:
                 return None
@@ -82,42 +97,48 @@ class Encoder:
             if len(marks) != len(parts):
                 return None
             ids, stops = np.delete(ids, marks), marks - np.arange(len(marks))
-        return np.split(ids, stops[:-1])
+        return ids, np.diff(stops, prepend=0)
 
     def _learn(self, parts: list[str]) -> None:
-        joint, alone = [], []
-        for p in parts:
-            plain = p and len(p) <= _LONG and _MARK not in p and not p[-1].isspace()
-            (joint if plain and (p[0] == " " or not self.keeps_bytes) else alone).append(p)
-        found: dict[str, list] = {}
-        for i in range(0, len(joint), _CHUNK):
-            some = joint[i : i + _CHUNK]
-            ids = self._together(some)
-            found.update(zip(some, self._whole(some) if ids is None else ids))
-        found.update(zip(alone, self._whole(alone)))
-        if parts:
-            own = [np.asarray(found[p], np.uint32) for p in parts]
-            self.sizes = np.concatenate((self.sizes, np.array([len(x) for x in own], np.int64)))
-            self.flat = np.concatenate((self.flat, *own))
+        """Ids of parts that have the next numbers."""
+        first = " " if self.keeps_bytes else ""
+        plain = [0 < len(p) <= _LONG and p.startswith(first) and _MARK not in p and not p[-1].isspace() for p in parts]
+        places, ids, sizes = [], [], []
+
+        def keep(some: list[int], own: tuple[np.ndarray, np.ndarray] | None) -> None:
+            if own is None:
+                each = self._whole([parts[i] for i in some])
+                own = np.array([x for e in each for x in e], np.uint32), np.array([len(e) for e in each], np.int64)
+            places.append(np.array(some, np.int64))
+            ids.append(own[0])
+            sizes.append(own[1])
+
+        joint = [i for i, x in enumerate(plain) if x]
+        for at in range(0, len(joint), _CHUNK):
+            some = joint[at : at + _CHUNK]
+            keep(some, self._together([parts[i] for i in some]))
+        keep([i for i, x in enumerate(plain) if not x], None)
+        places, sizes = np.concatenate(places), np.concatenate(sizes)
+        starts = len(self.flat) + np.cumsum(sizes) - sizes
+        order = np.argsort(places)
+        self.starts = np.concatenate((self.starts, starts[order]))
+        self.sizes = np.concatenate((self.sizes, sizes[order]))
+        self.flat = np.concatenate((self.flat, *ids))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each text has."""
-        index, order, fresh, per_text = self.index, [], [], []
+        index, order, per_text = self.index, [], []
         for t in texts:
             parts = self._parts(t) if t else []
             per_text.append(len(parts))
-            for p in parts:
-                i = index.get(p)
-                if i is None:
-                    i = index[p] = len(index)
-                    fresh.append(p)
-                order.append(i)
-        self._learn(fresh)
-        starts = np.cumsum(self.sizes) - self.sizes
+            order.extend(map(index.__getitem__, parts))
+        if index.fresh:
+            self._learn(index.fresh)
+            index.fresh = []
         at = np.array(order, np.int64)
         own = self.sizes[at]
         total = np.cumsum(own)
-        ids = self.flat[np.repeat(starts[at] - (total - own), own) + np.arange(own.sum())]
+        ids = self.flat[np.repeat(self.starts[at] - (total - own), own) + np.arange(own.sum())]
         before = np.concatenate(([0], total))
         edges = np.concatenate(([0], np.cumsum(per_text))).astype(np.int64)
         counts = before[edges[1:]] - before[edges[:-1]]

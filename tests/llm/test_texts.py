@@ -16,7 +16,7 @@ FOLDER = "/root/testdata/sf0.001"
 ODD = [
     None, "", " ", "\n\n", "a", "a b  c\n d\t\te  f", "x" * 5000, "wort " * 700, "wort\n" * 80, "́a İIΣ Σ",
     "a\x00b c \x00 d", "tail  ", " \n lead", "<|endoftext|> 's 'll don't", "\x1c \x85 y", "All rights reserved. CC BY general public license",
-    "cc by cc by cc by", "\U0001f600 中文 naïve #*$%&|<>", "one two three four five six " * 60,
+    "hello <|endoftext|> world  <|startoftext|>", "<|endoftext|>", "a<|endoftext|>b <|ENDOFTEXT|>\n<|endoftext|> <|endoftext|>c", "cc by cc by cc by", "\U0001f600 中文 naïve #*$%&|<>", "one two three four five six " * 60,
 ]
 
 
@@ -98,9 +98,7 @@ def test_encoder_gives_the_librarys_ids(docs, name):
 
 @functools.cache
 def plain_tokenizer(name):
-    plain = Tokenizer.from_file(tokenizer_path(name))
-    plain.encode_special_tokens = True
-    return plain
+    return Tokenizer.from_file(tokenizer_path(name))
 
 
 def ids_by_hand(text, name, end):
