@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playbill.llm.fm_index import FmIndex
-from playbill.llm.groups import BROADCAST_IDS, pick, stored
+from playbill.llm.groups import freed, stored
 from playbill.llm.tasks import map_text
 
 WINDOW = 50
@@ -222,11 +222,10 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     texts = texts.where("id is not null and text is not null")
     runs = stored(_runs(texts, window), "runs")
     shared = runs.groupBy("gram").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("gram")
-    near = pick(runs, stored(shared, "grams"), "gram").groupBy("id", "mark")
+    near = runs.join(shared.hint("merge"), "gram", "left_semi").groupBy("id", "mark")
     near = stored(near.agg(F.collect_set(F.struct("start", "n", "gram")).alias("runs")), "near")
-    # Text is shuffled to its runs only where these don't fit a bounded broadcast.
-    few = (near.agg(F.sum(F.size("runs"))).first()[0] or 0) <= BROADCAST_IDS
-    own = texts.join(F.broadcast(near) if few else near.hint("merge"), ["id", "mark"])
+    # Both sides grow with the input, so texts are shuffled to their runs at every size.
+    own = texts.join(near.hint("merge"), ["id", "mark"])
     pieces = stored(_cut(own.select("id", "mark", "text", "runs"), window), "pieces")
     owners = _first_owners(pieces, window)
     found = pieces.select("id", "mark", "start", "passage").join(owners, "passage").where("owner < id")
@@ -250,13 +249,13 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     each other. Keys are integers. An empty table gives no row; other columns
     are not read.
     """
-    spans = stored(repeated_spans(docs, key, text, window), "spans")
-    few = (spans.agg(F.sum(F.size("spans"))).first()[0] or 0) <= BROADCAST_IDS
+    with freed(docs.sparkSession):
+        spans = stored(repeated_spans(docs, key, text, window), "spans", keep=True)
     spans = spans.toDF("__id", "__mark", "spans")
     kind = docs.schema[key].dataType.simpleString()
     source = docs.select(docs[key].alias("key"), docs[text].alias("text"))
     match = (F.col("key").cast("long") == F.col("__id")) & (F.xxhash64("text") == F.col("__mark"))
-    own = source.join(F.broadcast(spans) if few else spans.hint("merge"), match, "left").select("key", "text", "spans")
+    own = source.join(spans.hint("merge"), match, "left").select("key", "text", "spans")
 
     def rows(batches):
         for batch in batches:

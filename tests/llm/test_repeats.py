@@ -90,8 +90,7 @@ def test_odd_rows(spark, monkeypatch, passages_of_a_gram):
         assert sum(s["stop"] - s["start"] for s in r["removed"]) == r["n_removed"]
 
 
-def test_other_window_and_shuffled_joins(spark, monkeypatch):
-    monkeypatch.setattr(repeats, "BROADCAST_IDS", 0)
+def test_other_window(spark):
     rows = table()[40:]
     df = spark.createDataFrame(rows, "doc_id int, text string")
     got = repeats.remove_repeats(df, window=41).collect()
