@@ -12,20 +12,22 @@ from playbill.session import scratch_path
 
 # Ids that may be broadcast to pick rows of a table: 8 bytes each.
 BROADCAST_IDS = 400_000
+# Ids of a bucket in a block of the last comparison.
+CELL = 1000
 
 
 # Paths of the tables stored in each open block of :func:`freed`, the innermost last.
 _blocks: list[list[str]] = []
 
 
-def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+def stored(df: DataFrame, label: str, keep: bool = False, codec: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back; cuts the lineage for good.
 
     Inside a block of :func:`freed` the table goes when the block ends; ``keep``
-    leaves it to the block around that one.
+    leaves it to the block around that one. ``codec`` compresses wide texts harder.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     owner = _blocks[:-1] if keep else _blocks
     if owner:
         owner[-1].append(path)
@@ -42,6 +44,8 @@ def freed(spark: SparkSession) -> Iterator[None]:
         for path in _blocks.pop():
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        # Spark removes the shuffle files of a plan once the driver has forgotten the plan.
+        spark._jvm.System.gc()
 
 
 def pick(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -121,15 +125,13 @@ def linked_groups(
 
 def _linked(buckets, sketches, close, confirm, known, refine, closer) -> DataFrame:
     spark = buckets.sparkSession
-    buckets = stored(buckets, "buckets")
     many = stored(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "many")
-    shared = stored(buckets.join(many, "bucket"), "shared")
+    shared = stored(buckets.join(many.hint("shuffle_hash"), "bucket"), "shared")
     score = shared.groupBy("id").agg(F.sum("n").alias("score"))
-    shared = shared.select("bucket", "id")
     inner = stored(score.join(sketches, "id"), "scores")
-    rows = stored(shared.join(inner.select("id", "score"), "id").select("bucket", "id", "score"), "rows")
-    hub = rows.groupBy("bucket").agg(F.max(F.struct("score", "id")).alias("hub"))
-    pairs = rows.join(hub.select("bucket", F.col("hub.id").alias("hub")), "bucket").where("id <> hub")
+    rows = stored(shared.select("bucket", "id").join(inner.select("id", "score"), "id").select("bucket", "id", "score"), "rows")
+    hub = rows.groupBy("bucket").agg(F.max_by("id", "score").alias("hub"))
+    pairs = rows.join(hub, "bucket").where("id <> hub")
     left, right = inner.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), inner.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
 
     def tested(pairs: DataFrame) -> DataFrame:
@@ -150,18 +152,18 @@ def _linked(buckets, sketches, close, confirm, known, refine, closer) -> DataFra
     def labelled() -> DataFrame:
         """Rows of buckets with more than one group, with their group."""
         own = rows.join(groups, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
-        mixed = own.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-        return own.join(mixed.select("bucket"), "bucket")
+        mixed = own.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo < hi")
+        return own.join(mixed.select("bucket", "size"), "bucket")
 
     own = stored(labelled(), "mixed")
-    lead = own.groupBy("bucket").agg(F.max(F.struct("score", "id", "label")).alias("lead"))
-    own = own.join(lead.select("bucket", F.col("lead.label").alias("main")), "bucket")
-    draw = F.struct(F.xxhash64("id", "bucket").alias("h"), F.col("id"))
+    lead = own.groupBy("bucket").agg(F.max_by("label", "score").alias("main"))
+    own = own.join(lead, "bucket")
+    inside = F.col("label") == F.col("main")
     again = own.groupBy("bucket").agg(
-        F.max(F.when(F.col("label") == F.col("main"), draw)).alias("inside"),
-        F.max(F.when(F.col("label") != F.col("main"), F.struct("score", "id"))).alias("outside"),
+        F.max_by(F.when(inside, F.col("id")), F.when(inside, F.xxhash64("id", "bucket"))).alias("p"),
+        F.max_by(F.when(~inside, F.col("id")), F.when(~inside, F.col("score"))).alias("q"),
     )
-    rest = own.where("label <> main").join(again.select("bucket", F.col("inside.id").alias("p"), F.col("outside.id").alias("q")), "bucket")
+    rest = own.where("label <> main").join(again, "bucket")
     pairs = rest.select("id", F.explode(F.array("p", "q")).alias("hub")).where("id <> hub")
     fresh = tested(pairs.select(F.col("id").alias("a"), F.col("hub").alias("b"))).join(done, ["a", "b"], "left_anti")
     fresh = stored(fresh, "pairs")
@@ -169,14 +171,21 @@ def _linked(buckets, sketches, close, confirm, known, refine, closer) -> DataFra
     links = links.union(confirmed(fresh))
     groups = connected(links)
 
-    mixed = stored(labelled().join(inner.select("id", "sketch"), "id").select("bucket", "id", "label", "sketch"), "mixed")
+    # A bucket of many ids is cut into blocks; each pair of blocks is a cell of its own.
+    blocks = F.ceil(F.col("size") / CELL).cast("int")
+    block = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    mixed = labelled().join(inner.select("id", "sketch"), "id").select("bucket", "id", "label", "sketch", blocks.alias("blocks"), block.alias("block"))
+    mixed = stored(mixed, "mixed")
     test = close(F.col("x.sketch"), F.col("y.sketch"))
     if refine and closer:
         mixed = mixed.join(refine(stored(mixed.select("id").distinct(), "ids")), "id")
         test = test & closer(F.col("x.more"), F.col("y.more"))
-    x, y = mixed.alias("x"), mixed.alias("y")
-    apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") < F.col("y.label"))
-    across = x.join(y.hint("merge"), apart & test)
+    x = mixed.withColumns({"low": F.col("block"), "high": F.explode(F.sequence("block", F.col("blocks") - 1))}).alias("x")
+    y = mixed.withColumns({"low": F.explode(F.sequence(F.lit(0), "block")), "high": F.col("block")}).alias("y")
+    same = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.low") == F.col("y.low")) & (F.col("x.high") == F.col("y.high"))
+    # In a cell of one block each pair would come twice.
+    apart = (F.col("x.label") < F.col("y.label")) | ((F.col("x.label") > F.col("y.label")) & (F.col("x.block") < F.col("y.block")))
+    across = x.join(y.hint("merge"), same & apart & test)
     fresh = across.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     fresh = stored(fresh.join(done, ["a", "b"], "left_anti"), "pairs")
     return connected(links.union(confirmed(fresh)))

@@ -189,7 +189,7 @@ def _grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
     classes = stored(classes.join(single, "rep").select("set_key", "rep", number.alias("class")), "classes")
     reps = some.join(classes, "set_key").where("id = rep").dropDuplicates(["class"])
     reps = stored(reps.select(F.col("class").alias("id"), "bands", "sketch"), "reps")
-    buckets = reps.select(F.explode("bands").alias("bucket"), "id").distinct()
+    buckets = reps.select(F.explode("bands").alias("bucket"), "id")
     # Only where one key has several texts: their classes belong together.
     texts_of = some.join(classes, "set_key").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.collect_set("class").alias("all"))
     known = texts_of.where("a < b").select("a", F.explode("all").alias("b")).where("a <> b")
