@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from playbill.models import clusters, features, metrics, supervised
@@ -67,6 +68,22 @@ def test_classifiers_find_the_signal(planted, kind):
     assert metrics.class_metrics(model.transform(test)).first()["accuracy"] > 0.95
 
 
+@pytest.mark.parametrize("kind", ["rf", "lr"])
+def test_classifiers_predict_in_a_session_that_observed_a_table(spark, planted, kind):
+    seen = Observation(f"before {kind}")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("rows")).collect()
+    train, test = features.split(planted, "id")
+    model = supervised.fit_classifier(train, kind, ["genre"], ["runtime", "noise"])
+    assert not model.stages[-1].hasSummary
+    assert metrics.class_metrics(model.transform(test)).first()["accuracy"] > 0.95
+
+
+def test_feature_sweep_in_a_session_that_observed_a_table(spark, planted):
+    spark.range(3).observe(Observation("before sweep"), F.count(F.lit(1)).alias("rows")).collect()
+    swept = supervised.feature_accuracy(planted.withColumn("same", F.col("type")), ["same", "genre"], buckets=16)
+    assert [r["feature"] for r in swept.collect() if r["is_best"]] == ["same"]
+
+
 def test_slots_are_named_by_the_model_and_survive_saving(planted, tmp_path):
     train, test = features.split(planted, "id")
     model = supervised.fit_regressor(train, "rf", ["genre"], ["runtime", "noise"], "score")
