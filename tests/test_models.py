@@ -10,7 +10,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from playbill.models import clusters, features, metrics, supervised
-from playbill.plans import reports
+from playbill.plans import catalog_of_queries, reports
 
 
 @pytest.fixture(scope="module")
@@ -84,6 +84,14 @@ def test_feature_sweep_in_a_session_that_observed_a_table(spark, planted):
     assert [r["feature"] for r in swept.collect() if r["is_best"]] == ["same"]
 
 
+def test_line_of_price_by_quantity(spark, tmp_path):
+    rows = [(i, 1, float(i % 9), 3.0 * (i % 9) + 2) for i in range(40)] + [(41, 1, None, 5.0), (42, 1, 4.0, None), (None, None, 1.0, 5.0)]
+    schema = "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = catalog_of_queries()["m14_linear_regression"](spark, str(tmp_path)).collect()
+    assert {r["feature"]: round(r["weight"], 3) for r in found} == {"l_quantity": 3.0, "(intercept)": 2.0, "(r2)": 1.0}
+
+
 def test_slots_are_named_by_the_model_and_survive_saving(planted, tmp_path):
     train, test = features.split(planted, "id")
     model = supervised.fit_regressor(train, "rf", ["genre"], ["runtime", "noise"], "score")
