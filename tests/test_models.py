@@ -92,6 +92,27 @@ def test_line_of_price_by_quantity(spark, tmp_path):
     assert {r["feature"]: round(r["weight"], 3) for r in found} == {"l_quantity": 3.0, "(intercept)": 2.0, "(r2)": 1.0}
 
 
+def test_wide_vectors_are_the_same_without_names(spark, monkeypatch):
+    rows = [(i, f"t{i % 30}" if i % 7 else None, ("x", "y")[i % 2], float(i % 4)) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, title string, part string, n double")
+    indexed = features.index(df, ["title", "part"])
+
+    def vectors():
+        whole = features.assemble(features.one_hot(indexed, ["title", "part"]), ["title_vec", "n", "part_vec"])
+        return whole.columns, whole.schema["features"].metadata["ml_attr"], sorted(whole.select("id", "title_vec", "part_vec", "features").collect())
+
+    columns, named, expected = vectors()
+    monkeypatch.setattr(features, "NAMED_SLOTS", 20)
+    found = vectors()
+    assert (found[0], found[2]) == (columns, expected)
+    assert found[1] == {"num_attrs": 30 + 1 + 2} == {"num_attrs": named["num_attrs"]}
+    gaps = indexed.withColumn("n", F.when(F.col("id") > 9, F.col("n"))).transform(lambda d: features.one_hot(d, ["title"]))
+    assert features.assemble(gaps, ["title_vec", "n"], invalid="skip").count() == 80
+    assert features.assemble(gaps, ["title_vec", "n"], invalid="keep").collect()[0]["features"].size == 31
+    with pytest.raises(Exception, match="null or not a number"):
+        features.assemble(gaps, ["title_vec", "n"]).collect()
+
+
 def test_slots_are_named_by_the_model_and_survive_saving(planted, tmp_path):
     train, test = features.split(planted, "id")
     model = supervised.fit_regressor(train, "rf", ["genre"], ["runtime", "noise"], "score")
