@@ -170,6 +170,26 @@ def test_feature_sweep_scores_free_text_too_and_flags_the_best(planted):
     assert done["runtime"]["is_best"] and done["runtime"]["accuracy"] > done["genre"]["accuracy"]
 
 
+def test_feature_sweep_fits_the_used_slots_alone(planted, monkeypatch):
+    sizes = []
+
+    class Watched(supervised.RandomForestClassifier):
+        def fit(self, dataset, params=None):
+            sizes.append(dataset.first()["features"].size)
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(supervised, "RandomForestClassifier", Watched)
+    gaps = planted.withColumns({"genre": F.when(F.col("id") % 4 > 0, F.col("genre")), "empty": F.lit(None).cast("string")})
+
+    def swept():
+        return sorted(tuple(r) for r in supervised.feature_accuracy(gaps, ["genre", "runtime", "empty"], parallelism=1).collect())
+
+    few = swept()
+    assert sizes[0] <= 3 and sizes[1] <= 43 and sizes[2] == 1
+    monkeypatch.setattr(supervised, "_used_slots", lambda df, features: list(range(512)))
+    assert swept() == few and sizes[3:] == [512] * 3
+
+
 def test_majority_matches_brute_force(spark):
     rows = [(i, "MS"[(i * i) % 3 == 1], f"v{i % 7}" if i % 13 else None) for i in range(200)] + [(203, "M", "unseen"), (204, "S", "tie"), (209, "M", "tie")]
     df = spark.createDataFrame(rows, "id int, type string, v string")
