@@ -190,6 +190,11 @@ def test_feature_sweep_fits_the_used_slots_alone(planted, monkeypatch):
     assert swept() == few and sizes[3:] == [512] * 3
 
 
+def test_clusters_read_titles_written_once(spark):
+    files = catalog_of_queries()["m18_kmeans"](spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and not [f for f in files if "lineitem" in f or "orders" in f]
+
+
 def test_majority_matches_brute_force(spark):
     rows = [(i, "MS"[(i * i) % 3 == 1], f"v{i % 7}" if i % 13 else None) for i in range(200)] + [(203, "M", "unseen"), (204, "S", "tie"), (209, "M", "tie")]
     df = spark.createDataFrame(rows, "id int, type string, v string")
