@@ -195,6 +195,10 @@ def test_clusters_read_titles_written_once(spark):
     assert files and not [f for f in files if "lineitem" in f or "orders" in f]
 
 
+def test_a_fit_has_few_partitions(spark):
+    assert fits.in_order(spark.range(3_000_000), "id").rdd.getNumPartitions() == fits.LEAST_PARTITIONS
+
+
 def test_majority_matches_brute_force(spark):
     rows = [(i, "MS"[(i * i) % 3 == 1], f"v{i % 7}" if i % 13 else None) for i in range(200)] + [(203, "M", "unseen"), (204, "S", "tie"), (209, "M", "tie")]
     df = spark.createDataFrame(rows, "id int, type string, v string")
