@@ -9,7 +9,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from playbill.models import clusters, features, fits, metrics, supervised
+from playbill.models import boosting, clusters, features, fits, metrics, supervised
 from playbill.plans import catalog_of_queries, reports
 
 
@@ -304,3 +304,71 @@ def test_missing_labels_and_many_labels(spark):
     assert features.index(df.limit(0), ["k"]).collect() == []
     many = spark.range(5000).select(F.format_string("t%05d", "id").alias("k"), "id").repartition(6)
     assert all(r["k_index"] == r["id"] for r in features.index(many, ["k"]).collect())
+
+
+def _rows_that_differ(spark, n=4000):
+    """Two numbers, one of few values, and two categories, one with a gap, decide the type but for some noise."""
+    draw = np.random.default_rng(4)
+    a, b, c = draw.normal(size=n), draw.integers(0, 50, n), draw.gamma(2, size=n)
+    genre, rating = draw.choice(list("xyz"), n), draw.choice(["g", "pg", "r", "No Data"], n)
+    chance = 1 / (1 + np.exp(-(2 * a + (b % 7) - 3 + 2 * (genre == "x") * (c > 1) - (rating == "r"))))
+    kind = np.where(draw.random(n) < chance, "MOVIE", "SHOW")
+    rows = [(i, str(k), str(g), str(r), float(x), int(y), float(z)) for i, (k, g, r, x, y, z) in enumerate(zip(kind, genre, rating, a, b, c))]
+    return spark.createDataFrame(rows, "id long, type string, genre string, rating string, a double, b int, c double")
+
+
+def test_trees_grown_in_tasks_are_those_of_the_library(spark, monkeypatch):
+    """Scores of the whole grid, and the model of the best, tree by tree."""
+    df = _rows_that_differ(spark)
+    asked = dict(cat=["genre", "rating"], num=["a", "b", "c"], grid={"maxDepth": [2, 5], "maxIter": [3, 6]}, folds=2)
+    expected, scores = supervised.tune(df, **asked)
+    monkeypatch.setattr(supervised, "GROWN_FROM", 1)
+    monkeypatch.setattr(supervised, "f1_by_rounds", None)
+    model, found = supervised.tune(df.repartition(3), **asked)
+    assert [r["is_best"] for r in found.collect()] == [r["is_best"] for r in scores.collect()]
+    assert [r["avg_f1"] for r in found.collect()] == pytest.approx([r["avg_f1"] for r in scores.collect()], abs=2e-3)
+    ours, theirs = model.stages[-1], expected.stages[-1]
+    assert ours.treeWeights == theirs.treeWeights and ours.numFeatures == theirs.numFeatures
+    assert [(x.numNodes, x.depth) for x in ours.trees] == [(x.numNodes, x.depth) for x in theirs.trees]
+    # Where two slots divide the rows of a node alike, either may be named.
+    assert list(ours.featureImportances.toArray()) == pytest.approx(list(theirs.featureImportances.toArray()), abs=1e-3)
+    a, b = (np.array(m.transform(df).orderBy("id").select("probability").toPandas()["probability"].map(lambda v: v[1])) for m in (model, expected))
+    assert np.abs(a - b).max() < 1e-6
+
+
+def test_tuning_of_many_rows_takes_no_fit_of_the_library(spark, monkeypatch):
+    """The library's fit runs once, on two rows, to shape the model of the best."""
+    fitted = []
+
+    class Watched(supervised.GBTClassifier):
+        def fit(self, dataset, params=None):
+            fitted.append(dataset.count())
+            return super().fit(dataset, params)
+
+    for module in (supervised, boosting):
+        monkeypatch.setattr(module, "GBTClassifier", Watched)
+    monkeypatch.setattr(supervised, "GROWN_FROM", 1000)
+    supervised.tune(_rows_that_differ(spark, 1500), ["genre"], ["a", "c"], grid={"maxDepth": [3], "maxIter": [2]}, folds=2)
+    assert fitted == [2]
+
+
+def test_bins_are_cut_as_the_library_does(spark):
+    """Thresholds of a tree of the library deep enough to use most of them are among ours."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    draw = np.random.default_rng(2)
+    for values in (draw.normal(size=3000), draw.geometric(0.05, 3000).astype(float), draw.integers(0, 9, 500).astype(float), np.zeros(50)):
+        rows = spark.createDataFrame([(float(v), float(np.sin(3 * v))) for v in values], "v double, label double")
+        tree = DecisionTreeRegressor(maxDepth=10).fit(VectorAssembler(inputCols=["v"], outputCol="features").transform(rows))
+        used = {float(x.split("<= ")[1].rstrip(")")) for x in tree.toDebugString.split("\n") if "<=" in x}
+        own = boosting.cuts_of(values)
+        assert len(own) == min(31, len(set(values)) - 1) or len(set(values)) > 32
+        assert all(np.abs(own - u).min() < 1e-9 for u in used)
+
+
+def test_missing_numbers_stop_a_grown_fit(spark, monkeypatch):
+    monkeypatch.setattr(supervised, "GROWN_FROM", 1)
+    gap = _rows_that_differ(spark, 800).withColumn("a", F.when(F.col("id") != 5, F.col("a")))
+    with pytest.raises(Exception, match="missing|null"):
+        supervised.tune(gap, ["genre"], ["a"], grid={"maxDepth": [2], "maxIter": [2]}, folds=2)
