@@ -372,3 +372,42 @@ def test_missing_numbers_stop_a_grown_fit(spark, monkeypatch):
     gap = _rows_that_differ(spark, 800).withColumn("a", F.when(F.col("id") != 5, F.col("a")))
     with pytest.raises(Exception, match="missing|null"):
         supervised.tune(gap, ["genre"], ["a"], grid={"maxDepth": [2], "maxIter": [2]}, folds=2)
+
+
+def test_sweep_of_counted_rows_is_that_of_the_forests(spark, planted, monkeypatch):
+    """Columns that decide the type, partly, not at all, with gaps and of free text; no forest over rows is fitted."""
+    n = F.col("id")
+    rows = spark.range(6000).select(
+        "id",
+        F.when(n % 4 == 0, "SHOW").when(n % 41 == 1, "OTHER").otherwise("MOVIE").alias("type"),
+        F.concat(F.lit("T"), n.cast("string")).alias("title"),
+        F.when(n % 5 > 0, F.when(n % 4 == 0, "s").otherwise("m")).alias("gaps"),
+        (n % 12).alias("twelve"),
+        F.lit(None).cast("string").alias("empty"),
+        F.lit(1.5).alias("constant"),
+    )
+    cols = ["title", "gaps", "twelve", "empty", "constant"]
+    expected = {r["feature"]: r for r in supervised.feature_accuracy(rows, cols, buckets=64).collect()}
+    monkeypatch.setattr(supervised, "COUNTED_FROM", 1)
+    monkeypatch.setattr(supervised, "_one_feature", None)
+    found = {r["feature"]: r for r in supervised.feature_accuracy(rows.repartition(5), cols, buckets=64).collect()}
+    assert found.keys() == expected.keys()
+    # Where a slot's labels are about as many each, the draws decide: by title, and for two of the twelve that share a slot.
+    for c in cols:
+        assert (found[c]["n_distinct"], found[c]["is_best"]) == (expected[c]["n_distinct"], expected[c]["is_best"])
+        assert found[c]["accuracy"] == pytest.approx(expected[c]["accuracy"], abs=0.01 if c in ("title", "twelve") else 1e-12)
+    with pytest.raises(ValueError, match="label is missing"):
+        supervised.feature_accuracy(rows.withColumn("type", F.when(n > 5, F.col("type"))), ["constant"])
+
+
+def test_tree_of_one_column_is_that_of_the_library(spark):
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    draw = np.random.default_rng(6)
+    weights = draw.poisson(6, (9, 3)).astype(float) * draw.integers(1, 9, (9, 1))
+    weights[2], weights[5, 1:] = 0, 0
+    rows = [(float(y), Vectors.sparse(8, {i: 1.0} if i < 8 else {}), w) for i, own in enumerate(weights.tolist()) for y, w in enumerate(own) if w]
+    tree = DecisionTreeClassifier(weightCol="w").fit(spark.createDataFrame(rows, ["label", "features", "w"]))
+    shown = spark.createDataFrame([(i, Vectors.sparse(8, {i: 1.0} if i < 8 else {})) for i in range(9)], ["i", "features"])
+    expected = [list(r["probability"]) for r in tree.transform(shown).orderBy("i").collect()]
+    assert supervised._one_column_votes(weights).tolist() == [pytest.approx(x) for x in expected]
